@@ -14,7 +14,7 @@ from ..session import checkpointed
 from ..sources.bindings import with_machine_features
 from .joins import attach
 from .order_stats import grouped_quantiles, quantile_row
-from .ordered import ROWS_PER_SLICE, number_rows, slice_by_range, with_neighbours
+from .ordered import ROWS_PER_SLICE, range_of, slice_by_range, with_neighbours
 
 # Spellings of the machine type, unit and outlier limits.
 TYPE_SPELLINGS = {
@@ -30,8 +30,6 @@ CLIP_FENCE = 3.0
 CLIP_FLOOR = 0.0
 FILLED_FORWARD = ["air_temp_k", "rotational_speed_rpm"]
 CLIPPED = ["rotational_speed_rpm", "torque_nm"]
-# Copies of a reading whose wear is interpolated are spread in two steps of at most this many.
-COPIES_PER_STEP = 10_000
 
 
 def strip_headers(df: DataFrame) -> DataFrame:
@@ -82,81 +80,98 @@ def null_audit(readings: DataFrame) -> DataFrame:
     return one.select(rows.alias("r")).select("r.*").filter("nulls > 0")
 
 
-def _positioned(collapsed: DataFrame, rows: int) -> DataFrame:
-    """Add first and last row position of each distinct reading in udi order."""
+def _with_all_neighbours(collapsed: DataFrame, columns: list[str], rows: int, extent: tuple | None) -> DataFrame:
+    """Positions and neighbours in udi order; readings of one udi follow each other by content."""
     tie = F.xxhash64(*[F.col(c) for c in _columns(collapsed)])
-    cut = slice_by_range(collapsed.withColumn("_tie", tie), "udi", rows)
-    numbered = number_rows(cut, ["udi", "_tie"], ["slice"], weight="copies", out="_end")
-    return numbered.withColumn("_start", F.col("_end") - F.col("copies") + 1)
-
-
-def _with_all_neighbours(collapsed: DataFrame, columns: list[str], rows: int) -> DataFrame:
-    return with_neighbours(_positioned(collapsed, rows), ["udi", "_tie"], columns, "_start", "_end")
+    cut = slice_by_range(collapsed.withColumn("_tie", tie), "udi", rows, extent=extent)
+    return with_neighbours(cut, ["udi", "_tie"], columns, "copies")
 
 
 def _filled(c: str) -> Column:
     return F.coalesce(F.col(f"{c}_prev"), F.col(f"{c}_next"))
 
 
-def fill_forward(collapsed: DataFrame, columns: list[str] = FILLED_FORWARD, rows: int = ROWS_PER_SLICE) -> DataFrame:
+def fill_forward(collapsed: DataFrame, columns: list[str] = FILLED_FORWARD, rows: int = ROWS_PER_SLICE,
+                 extent: tuple | None = None) -> DataFrame:
     """Last value before a gap in udi order; a leading gap takes the first value after it."""
-    found = _with_all_neighbours(collapsed, columns, rows)
+    found = _with_all_neighbours(collapsed, columns, rows, extent)
     return found.withColumns({c: _filled(c) for c in columns}).select(*collapsed.columns)
 
 
-def fill_group_median(collapsed: DataFrame, column: str = "torque_nm", group: str = "type") -> DataFrame:
-    """Null readings take the median of their group as spelled; a null group stays null."""
-    known = collapsed.filter(F.col(group).isNotNull() & F.col(column).isNotNull())
-    medians = _weighted_medians(known, column, group)
-    return attach(collapsed, medians, [group]).withColumn(column, F.coalesce(column, "_median")).select(*collapsed.columns)
+def group_medians(readings: DataFrame, column: str = "torque_nm", group: str = "type") -> DataFrame:
+    """Median per group as spelled, over all readings and their copies."""
+    known = readings.filter(F.col(group).isNotNull() & F.col(column).isNotNull())
+    weight = "copies" if "copies" in readings.columns else None
+    medians = grouped_quantiles(known, [group], [column], [0.5], weight=weight)
+    return medians.select(group, F.col(f"{column}_q")[0].alias("_median"))
 
 
-def _weighted_medians(known: DataFrame, column: str, group: str) -> DataFrame:
-    """Median per group over all copies: counts per value first, then the middle of the counts."""
-    counts = known.groupBy(group, column).agg(F.sum("copies").alias("_n"))
-    return counts.groupBy(group).agg(F.percentile(column, F.lit(0.5), F.col("_n")).alias("_median"))
+def fill_group_median(collapsed: DataFrame, column: str = "torque_nm", group: str = "type",
+                      medians: DataFrame | None = None) -> DataFrame:
+    """Null readings take the median of their group; a null group stays null."""
+    medians = group_medians(collapsed, column, group) if medians is None else medians
+    return attach(collapsed, medians, [group]).withColumn(column, F.coalesce(column, "_median")).select(*collapsed.columns)
 
 
-def _interpolated(column: str, position: Column) -> Column:
+def _line(column: str, position: Column) -> Column:
     """Linear between the neighbours by position, last value after the end, null before the start."""
     before, after = F.col(f"{column}_prev"), F.col(f"{column}_next")
     gap = F.nullif(F.col(f"{column}_next_at") - F.col(f"{column}_prev_at"), F.lit(0)).cast("double")
-    slope = (after - before) / gap
-    line = before + slope * (position - F.col(f"{column}_prev_at")).cast("double")
-    return F.when(F.col(column).isNotNull(), F.col(column)).when(after.isNull(), before).otherwise(line)
+    on_line = before + (after - before) / gap * (position - F.col(f"{column}_prev_at")).cast("double")
+    return F.when(F.col(column).isNotNull(), F.col(column)).when(after.isNull(), before).otherwise(on_line)
 
 
 def _interpolate(found: DataFrame, column: str, keep: list[str]) -> DataFrame:
     """Fill ``column`` from its neighbours and round to whole numbers, half to even.
 
-    Copies of a null reading lie at different positions and may differ after
-    interpolation. They are spread out (in steps, with a shuffle in between, so
-    a hot group of copies is shared by all tasks) and counted again.
+    Copies of a null reading lie at different positions and may get different
+    values. The line is monotone, so each whole number on it covers one stretch
+    of positions whose ends are computed, not searched: the number of rows made
+    is that of distinct values (or of copies, if those are fewer).
     """
-    whole = F.bround(_interpolated(column, F.col("_start"))).cast("bigint")
-    spread = F.col(column).isNull() & (F.col("copies") > 1)
-    single = found.filter(~spread).withColumn(column, whole).select(*keep, "copies")
-    steps = F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(COPIES_PER_STEP).cast("bigint"))
-    several = found.filter(spread).withColumn("_step", F.explode(steps)).repartition("udi", "_step")
-    within = F.sequence(F.col("_step"), F.least(F.col("_step") + COPIES_PER_STEP, F.col("copies")) - 1)
-    several = several.withColumn("_copy", F.explode(within)).withColumn("_start", F.col("_start") + F.col("_copy"))
-    several = several.withColumn(column, whole).withColumn("copies", F.lit(1).cast("bigint")).select(*keep, "copies")
-    return single.unionByName(several).groupBy(*keep).agg(F.sum("copies").alias("copies"))
+    first, last = F.bround(_line(column, F.col("_start"))), F.bround(_line(column, F.col("_end")))
+    values = F.abs(F.col("_last") - F.col("_first")).cast("bigint") + 1
+    few = F.col("copies") <= F.col("_values")
+    made = F.when(F.col("_values").isNull(), F.lit(1).cast("bigint")).otherwise(F.least("copies", "_values"))
+    rows = found.withColumns({"_first": first, "_last": last}).withColumn("_values", values)
+    rows = rows.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("bigint"), made - 1)))
+
+    up = F.signum(F.col("_last") - F.col("_first"))
+    before, after = F.col(f"{column}_prev"), F.col(f"{column}_next")
+    slope = F.abs(after - before) / F.nullif(F.col(f"{column}_next_at") - F.col(f"{column}_prev_at"), F.lit(0)).cast("double")
+
+    def end_of(k: Column) -> Column:
+        """Last position whose rounded value has not passed ``k`` in the direction of the line."""
+        guess = F.floor(F.col(f"{column}_prev_at") + (up * k + F.lit(0.5) - up * before) / F.nullif(slope, F.lit(0.0)))
+        guess = F.greatest(F.least(guess, F.col("_end")), F.col("_start") - 1)
+        within = [up * F.bround(_line(column, guess + d)) <= up * k for d in (1, 0)]
+        found_end = F.when(within[0], guess + 1).when(within[1], guess).otherwise(guess - 1)
+        return F.greatest(F.least(found_end, F.col("_end")), F.col("_start") - 1)
+
+    k = F.col("_first") + up * F.col("_i")
+    one_value = F.col("_values").isNull() | (F.col("_values") == 1)
+    value = F.when(one_value, F.col("_first")).when(
+        few, F.bround(_line(column, F.col("_start") + F.col("_i")))).otherwise(k)
+    copies = F.when(one_value, F.col("copies")).when(few, F.lit(1)).otherwise(end_of(k) - end_of(k - up))
+    whole = rows.withColumn("copies", copies.cast("bigint")).withColumn(column, value.cast("bigint"))
+    return whole.groupBy(*keep).agg(F.sum("copies").alias("copies"))
 
 
-def interpolate(collapsed: DataFrame, column: str = "tool_wear_min", rows: int = ROWS_PER_SLICE) -> DataFrame:
-    return _interpolate(_with_all_neighbours(collapsed, [column], rows), column, _columns(collapsed))
+def interpolate(collapsed: DataFrame, column: str = "tool_wear_min", rows: int = ROWS_PER_SLICE,
+                extent: tuple | None = None) -> DataFrame:
+    return _interpolate(_with_all_neighbours(collapsed, [column], rows, extent), column, _columns(collapsed))
 
 
-def impute(collapsed: DataFrame, rows: int = ROWS_PER_SLICE) -> DataFrame:
+def impute(readings: DataFrame, rows: int = ROWS_PER_SLICE) -> DataFrame:
     """All fills in one pass over the udi slices, plus the medians per type.
 
     Ends with the regrouping of readings that the fills have made equal.
     """
-    columns = _columns(collapsed)
-    found = _with_all_neighbours(fill_group_median(collapsed), [*FILLED_FORWARD, "tool_wear_min"], rows)
+    extent = range_of(readings, "udi")
+    collapsed = fill_group_median(collapse_copies(readings), medians=group_medians(readings))
+    found = _with_all_neighbours(collapsed, [*FILLED_FORWARD, "tool_wear_min"], rows, extent)
     found = found.withColumns({c: _filled(c) for c in FILLED_FORWARD})
-    return _interpolate(found, "tool_wear_min", columns)
+    return _interpolate(found, "tool_wear_min", _columns(collapsed))
 
 
 def dedup_exact(counted: DataFrame) -> DataFrame:
@@ -247,7 +262,7 @@ def to_machines(readings: DataFrame) -> DataFrame:
 
 def imputed_readings(raw: DataFrame, rows: int = ROWS_PER_SLICE) -> DataFrame:
     """Steps 1 to 4: headers, wear text, fills, copies counted again."""
-    return impute(collapse_copies(coerce_wear(strip_headers(raw))), rows)
+    return impute(coerce_wear(strip_headers(raw)), rows)
 
 
 def deduplicated(raw: DataFrame, rows: int = ROWS_PER_SLICE) -> DataFrame:

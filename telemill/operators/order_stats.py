@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import checkpointed
 from .joins import sized
 
-# The built-in percentile keeps one counter per distinct value of a group.
+# Counted quantiles sort one row per distinct value of a group in one task.
 # Readings of fixed resolution stay far below this; other columns are refined.
-DISTINCT_LIMIT = 200_000
+DISTINCT_LIMIT = 1_000_000
 BUCKETS = 4096
 
 
@@ -68,35 +68,62 @@ def _refined(df: DataFrame, keys: list[str], column: str, probs: list[float]) ->
     part = F.col("_at") - F.floor("_at")
     value = F.col("_a") + (F.col("value") - F.col("_a")) * part
     picks = [F.max(F.when(F.col("_p") == F.lit(float(p)), value)) for p in probs]
-    return both.groupBy(*keys).agg(F.array(*picks).alias(f"{column}_q"))
+    return both.groupBy(*keys).agg(F.array(*picks).alias(f"{column}_q"), F.max("_n").alias(f"{column}_n"))
+
+
+def _counted(df: DataFrame, keys: list[str], columns: list[str], probs: list[float], weight: str | None) -> DataFrame:
+    """Quantiles from counts per distinct value: combined before the shuffle, then one running sum per group."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    wide = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns], *([weight] if weight else []))
+    long = wide.unpivot([*keys, *([weight] if weight else [])], columns, "_c", "_v").filter(F.col("_v").isNotNull())
+    counts = long.groupBy(*keys, "_c", "_v").agg(n.alias("_n"))
+    group = Window.partitionBy(*keys, "_c")
+    upto = F.sum("_n").over(group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.withColumn("_upto", upto).withColumn("_total", F.sum("_n").over(group))
+
+    def at(rank: Column) -> Column:
+        inside = (rank >= F.col("_upto") - F.col("_n")) & (rank < F.col("_upto"))
+        return F.max(F.when(inside, F.col("_v")))
+
+    places = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
+    picks = placed.groupBy(*keys, "_c").agg(
+        F.max("_total").alias("_total"), F.array(*[at(F.floor(p)) for p in places]).alias("_lo"),
+        F.array(*[at(F.ceil(p)) for p in places]).alias("_hi"))
+    values = F.array(*[
+        F.col("_lo")[i] + (F.col("_hi")[i] - F.col("_lo")[i]) * (p - F.floor(p)) for i, p in enumerate(places)])
+    picks = picks.select(*keys, "_c", "_total", values.alias("_q"))
+    return picks.groupBy(*keys).agg(*[x for c in columns for x in (
+        F.max(F.when(F.col("_c") == c, F.col("_q"))).alias(f"{c}_q"),
+        F.coalesce(F.max(F.when(F.col("_c") == c, F.col("_total"))), F.lit(0)).alias(f"{c}_n"))])
 
 
 def grouped_quantiles(df: DataFrame, keys: list[str], columns: list[str], probs: list[float],
-                      max_distinct: int = DISTINCT_LIMIT) -> DataFrame:
-    """Exact interpolated quantiles per group, and the number of values behind them.
-
-    Adds per column ``<column>_q``, an array along ``probs``, and ``<column>_n``. A sketch of the distinct values per group decides for each column between
-    the built-in aggregate and the refinement above. A group without any value
-    yields null quantiles. ``keys`` must not be null.
+                      max_distinct: int = DISTINCT_LIMIT, weight: str | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles per group, and the number of values behind them.
+
+    Adds per column ``<column>_q``, an array along ``probs``, and ``<column>_n``. A
+    sketch of the distinct values per group decides for each column between
+    counting values and the refinement above, which never sorts a group in one
+    task. ``weight`` names a column of row multiplicities (counted columns only).
+    ``keys`` must not be null; a group without any value is left out.
     """
     sketch = df.groupBy(*keys).agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns])
     most = sketch.agg(*[F.max(c).alias(c) for c in columns]).first()
-    small = [c for c in columns if (most[c] or 0) <= max_distinct]
-    grid = F.array(*[F.lit(float(p)) for p in probs])
-    out = df.groupBy(*keys).agg(
-        *[F.count(c).alias(f"{c}_n") for c in columns], *[F.percentile(c, grid).alias(f"{c}_q") for c in small])
+    small = [c for c in columns if weight or (most[c] or 0) <= max_distinct]
+    out = _counted(df, keys, small, probs, weight) if small else None
     for c in columns:
         if c not in small:
-            out = out.join(_refined(df, keys, c, probs), keys, "left")
+            refined = _refined(df, keys, c, probs)
+            out = refined if out is None else out.join(refined, keys, "full")
     return out.select(*keys, *[x for c in columns for x in (f"{c}_q", f"{c}_n")])
 
 
 def quantile_row(df: DataFrame, columns: list[str], probs: list[float],
                  max_distinct: int = DISTINCT_LIMIT) -> dict[str, list[float]]:
-    """Whole-column quantiles, brought to the driver as a few numbers."""
+    """Whole-column quantiles, brought to the driver as a few numbers; None for an empty column."""
     with_key = df.select(F.lit(0).alias("_all"), *columns)
     row = grouped_quantiles(with_key, ["_all"], columns, probs, max_distinct).first()
-    return {c: list(row[f"{c}_q"]) if row is not None and row[f"{c}_q"] is not None else None for c in columns}
+    return {c: list(row[f"{c}_q"]) if row and row[f"{c}_q"] is not None else None for c in columns}
 
 
 def tile_cutoffs(df: DataFrame, value: str, tie: str, tiles: int) -> list[tuple]:

@@ -17,9 +17,18 @@ from ..session import checkpointed
 ROWS_PER_SLICE = 1_000_000
 
 
-def slice_by_range(df: DataFrame, order: str, rows: int = ROWS_PER_SLICE, name: str = "slice") -> DataFrame:
-    """Add a slice number that grows with a numeric order key (nulls first)."""
-    n, lo, hi = df.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first()
+def range_of(df: DataFrame, order: str) -> tuple:
+    """Row count and extremes of an order key; reads that one column."""
+    return tuple(df.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first())
+
+
+def slice_by_range(df: DataFrame, order: str, rows: int = ROWS_PER_SLICE, name: str = "slice",
+                   extent: tuple | None = None) -> DataFrame:
+    """Add a slice number that grows with a numeric order key (nulls first).
+
+    ``extent`` is ``range_of`` the source, given where ``df`` is costly to compute.
+    """
+    n, lo, hi = extent or range_of(df, order)
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     slices = max(parallelism, math.ceil(n / rows))
     if lo is None or hi == lo:
@@ -100,54 +109,49 @@ def block_rows(df: DataFrame, n: int, reach: int, rows: int = ROWS_PER_SLICE) ->
     return max(4 * reach, min(rows, math.ceil(n / parallelism)))
 
 
-def with_neighbours(df: DataFrame, order: list[str], columns: list[str], start: str, end: str,
+def with_neighbours(df: DataFrame, order: list[str], columns: list[str], weight: str,
                     slices: str = "slice") -> DataFrame:
-    """For each column add the nearest non-null value and position on both sides.
+    """Row positions, and for each column the nearest non-null value on both sides.
 
-    ``start`` and ``end`` hold the first and last position a row stands for.
-    Adds ``<c>_prev``, ``<c>_prev_at``, ``<c>_next`` and ``<c>_next_at``; a row
-    with a value is its own neighbour.
+    A row stands for ``weight`` equal rows and takes the positions ``_start`` to
+    ``_end`` (1-based). Adds ``<c>_prev``, ``<c>_prev_at``, ``<c>_next`` and
+    ``<c>_next_at``; a row with a value is its own neighbour. One window pass per
+    slice and one summary row per slice give both positions and neighbours.
     """
     up = Window.partitionBy(slices).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     # The backward look is a forward look over the reversed order: a frame that
     # ends at the last row would be evaluated anew for every row.
     down = Window.partitionBy(slices).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(
         Window.unboundedPreceding, 0)
-    seen_start = {c: F.when(F.col(c).isNotNull(), F.col(start)) for c in columns}
-    seen_end = {c: F.when(F.col(c).isNotNull(), F.col(end)) for c in columns}
-
-    local = df
-    for c in columns:
-        local = local.withColumns({
-            f"{c}_prev": F.last(c, ignorenulls=True).over(up),
-            f"{c}_prev_at": F.max(seen_end[c]).over(up),
-        })
-    for c in columns:
-        local = local.withColumns({
-            f"{c}_next": F.last(c, ignorenulls=True).over(down),
-            f"{c}_next_at": F.min(seen_start[c]).over(down),
-        })
-
-    edges = df.groupBy(slices).agg(*[
+    local = df.withColumn("_end", F.sum(weight).over(up).cast("bigint"))
+    local = local.withColumn("_start", F.col("_end") - F.col(weight) + 1)
+    at = {c: (F.when(F.col(c).isNotNull(), F.col("_start")), F.when(F.col(c).isNotNull(), F.col("_end"))) for c in columns}
+    local = local.withColumns({k: v for c in columns for k, v in {
+        f"{c}_prev": F.last(c, ignorenulls=True).over(up), f"{c}_prev_at": F.max(at[c][1]).over(up)}.items()})
+    local = local.withColumns({k: v for c in columns for k, v in {
+        f"{c}_next": F.last(c, ignorenulls=True).over(down), f"{c}_next_at": F.min(at[c][0]).over(down)}.items()})
+
+    edges = local.groupBy(slices).agg(F.sum(weight).cast("bigint").alias("_rows"), *[
         x for c in columns for x in (
-            F.min_by(c, seen_start[c]).alias(f"_{c}_first"), F.min(seen_start[c]).alias(f"_{c}_first_at"),
-            F.max_by(c, seen_end[c]).alias(f"_{c}_last"), F.max(seen_end[c]).alias(f"_{c}_last_at"),
-        )
-    ])
+            F.min_by(c, at[c][0]).alias(f"_{c}_first"), F.min(at[c][0]).alias(f"_{c}_first_at"),
+            F.max_by(c, at[c][1]).alias(f"_{c}_last"), F.max(at[c][1]).alias(f"_{c}_last_at"))])
+    edges = _totals_before(edges, [], [F.col(slices)], "_rows", "_before")
     earlier = Window.orderBy(slices).rowsBetween(Window.unboundedPreceding, -1)
     later = Window.orderBy(F.col(slices).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = edges.select(slices, *[
+    before = F.col("_before")
+    carried = edges.select(slices, "_before", *[
         x for c in columns for x in (
             F.last(f"_{c}_last", True).over(earlier).alias(f"_{c}_prev"),
-            F.last(f"_{c}_last_at", True).over(earlier).alias(f"_{c}_prev_at"),
+            F.last(F.col(f"_{c}_last_at") + before, True).over(earlier).alias(f"_{c}_prev_at"),
             F.last(f"_{c}_first", True).over(later).alias(f"_{c}_next"),
-            F.last(f"_{c}_first_at", True).over(later).alias(f"_{c}_next_at"),
-        )
-    ])
-    added = [f"{c}_{side}{at}" for c in columns for side in ("prev", "next") for at in ("", "_at")]
+            F.last(F.col(f"_{c}_first_at") + before, True).over(later).alias(f"_{c}_next_at"))])
+    found = {f"{c}_{side}{tail}": (F.col(f"{c}_{side}{tail}") + before if tail else F.col(f"{c}_{side}{tail}"))
+             for c in columns for side in ("prev", "next") for tail in ("", "_at")}
     joined = local.join(carried, slices)
-    return joined.withColumns({a: F.coalesce(F.col(a), F.col(f"_{a}")) for a in added}).drop(
-        *[f"_{a}" for a in added])
+    return joined.withColumns({
+        "_start": F.col("_start") + before, "_end": F.col("_end") + before,
+        **{k: F.coalesce(v, F.col(f"_{k}")) for k, v in found.items()},
+    }).drop("_before", *[f"_{k}" for k in found])
 
 
 def rank_desc(df: DataFrame, value: str, out: str, keys: list[str] | None = None,

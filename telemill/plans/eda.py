@@ -158,7 +158,7 @@ def cleaning_log(raw: DataFrame) -> DataFrame:
     sentinels = named.agg(count_true(
         F.col("tool_wear_raw").isNotNull() & F.trim("tool_wear_raw").try_cast("double").isNull())).first()[0]
     before = collapsed.agg(F.sum("copies").alias("rows"), F.sum(nulls).alias("nulls")).first()
-    unique = checkpointed(cleaning.dedup_exact(cleaning.impute(collapsed)))
+    unique = checkpointed(cleaning.dedup_exact(cleaning.impute(numeric)))
     fences = cleaning.clip_fences(unique)
     outside = F.lit(0)
     for c, (lo, hi) in fences.items():

@@ -44,11 +44,14 @@ def route_topic(messages: DataFrame) -> DataFrame:
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """Route, then parse the payload once; ``payload_ok`` is false for broken JSON."""
+    """Route, then parse the payload once; ``payload_ok`` is false for broken JSON.
+
+    The parsed struct passes through a generator of one row: filters on its
+    fields then stay above it, and no field access repeats the parsing.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    text = F.col("payload").cast("string")
-    routed = route_topic(messages).withColumn(
-        "d", F.when(F.col("kind").isNotNull(), F.from_json(text, PAYLOAD_SCHEMA, options)))
+    text = F.when(F.col("kind").isNotNull(), F.col("payload").cast("string"))
+    routed = route_topic(messages).withColumn("d", F.explode(F.array(F.from_json(text, PAYLOAD_SCHEMA, options))))
     return routed.withColumn("payload_ok", F.col("d").isNotNull() & F.col(f"d.{CORRUPT}").isNull())
 
 
