@@ -102,7 +102,7 @@ def group_medians(readings: DataFrame, column: str = "torque_nm", group: str = "
     """Median per group as spelled, over all readings and their copies."""
     known = readings.filter(F.col(group).isNotNull() & F.col(column).isNotNull())
     weight = "copies" if "copies" in readings.columns else None
-    medians = grouped_quantiles(known, [group], [column], [0.5], weight=weight)
+    medians = grouped_quantiles(known, [group], [column], [0.5], weight=weight, rule="middle")
     return medians.select(group, F.col(f"{column}_q")[0].alias("_median"))
 
 

@@ -12,6 +12,14 @@ from .joins import sized
 DISTINCT_LIMIT = 1_000_000
 BUCKETS = 4096
 
+# How a quantile between two readings is computed. All are linear; they differ
+# in the last bit, which decides ties when the result is rounded or compared.
+RULES = {
+    "nearer": lambda lo, hi, part: F.when(part >= 0.5, hi - (hi - lo) * (1 - part)).otherwise(lo + (hi - lo) * part),
+    "lower": lambda lo, hi, part: lo + (hi - lo) * part,
+    "middle": lambda lo, hi, part: F.when(part == 0, lo).otherwise((lo + hi) / 2),
+}
+
 
 def select_ranks(df: DataFrame, value: str, ranks: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The values at given 0-based ranks within each group, nulls left out.
@@ -55,7 +63,7 @@ def select_ranks(df: DataFrame, value: str, ranks: DataFrame, keys: list[str] |
         (F.col("_before") + F.col("_smaller")).alias("below"))
 
 
-def _refined(df: DataFrame, keys: list[str], column: str, probs: list[float]) -> DataFrame:
+def _refined(df: DataFrame, keys: list[str], column: str, probs: list[float], rule: str) -> DataFrame:
     """Linearly interpolated quantiles of one column through ``select_ranks``."""
     sizes = df.groupBy(*keys).agg(F.count(column).alias("_n")).filter("_n > 0")
     at = sizes.withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
@@ -66,12 +74,13 @@ def _refined(df: DataFrame, keys: list[str], column: str, probs: list[float]) ->
     low = at.withColumn("rank", F.floor("_at")).join(found, on).withColumnRenamed("value", "_a").drop("rank")
     both = low.withColumn("rank", F.ceil("_at")).join(found, on)
     part = F.col("_at") - F.floor("_at")
-    value = F.col("_a") + (F.col("value") - F.col("_a")) * part
+    value = RULES[rule](F.col("_a"), F.col("value"), part)
     picks = [F.max(F.when(F.col("_p") == F.lit(float(p)), value)) for p in probs]
     return both.groupBy(*keys).agg(F.array(*picks).alias(f"{column}_q"), F.max("_n").alias(f"{column}_n"))
 
 
-def _counted(df: DataFrame, keys: list[str], columns: list[str], probs: list[float], weight: str | None) -> DataFrame:
+def _counted(df: DataFrame, keys: list[str], columns: list[str], probs: list[float], rule: str,
+             weight: str | None) -> DataFrame:
     """Quantiles from counts per distinct value: combined before the shuffle, then one running sum per group."""
     n = F.sum(weight) if weight else F.count(F.lit(1))
     wide = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns], *([weight] if weight else []))
@@ -89,8 +98,7 @@ def _counted(df: DataFrame, keys: list[str], columns: list[str], probs: list[flo
     picks = placed.groupBy(*keys, "_c").agg(
         F.max("_total").alias("_total"), F.array(*[at(F.floor(p)) for p in places]).alias("_lo"),
         F.array(*[at(F.ceil(p)) for p in places]).alias("_hi"))
-    values = F.array(*[
-        F.col("_lo")[i] + (F.col("_hi")[i] - F.col("_lo")[i]) * (p - F.floor(p)) for i, p in enumerate(places)])
+    values = F.array(*[RULES[rule](F.col("_lo")[i], F.col("_hi")[i], p - F.floor(p)) for i, p in enumerate(places)])
     picks = picks.select(*keys, "_c", "_total", values.alias("_q"))
     return picks.groupBy(*keys).agg(*[x for c in columns for x in (
         F.max(F.when(F.col("_c") == c, F.col("_q"))).alias(f"{c}_q"),
@@ -98,7 +106,8 @@ def _counted(df: DataFrame, keys: list[str], columns: list[str], probs: list[flo
 
 
 def grouped_quantiles(df: DataFrame, keys: list[str], columns: list[str], probs: list[float],
-                      max_distinct: int = DISTINCT_LIMIT, weight: str | None = None) -> DataFrame:
+                      max_distinct: int = DISTINCT_LIMIT, weight: str | None = None,
+                      rule: str = "nearer") -> DataFrame:
     """Exact linearly interpolated quantiles per group, and the number of values behind them.
 
     Adds per column ``<column>_q``, an array along ``probs``, and ``<column>_n``. A
@@ -110,10 +119,10 @@ def grouped_quantiles(df: DataFrame, keys: list[str], columns: list[str], probs:
     sketch = df.groupBy(*keys).agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns])
     most = sketch.agg(*[F.max(c).alias(c) for c in columns]).first()
     small = [c for c in columns if weight or (most[c] or 0) <= max_distinct]
-    out = _counted(df, keys, small, probs, weight) if small else None
+    out = _counted(df, keys, small, probs, rule, weight) if small else None
     for c in columns:
         if c not in small:
-            refined = _refined(df, keys, c, probs)
+            refined = _refined(df, keys, c, probs, rule)
             out = refined if out is None else out.join(refined, keys, "full")
     return out.select(*keys, *[x for c in columns for x in (f"{c}_q", f"{c}_n")])
 
@@ -126,28 +135,69 @@ def quantile_row(df: DataFrame, columns: list[str], probs: list[float],
     return {c: list(row[f"{c}_q"]) if row and row[f"{c}_q"] is not None else None for c in columns}
 
 
+def pick_ranks(df: DataFrame, value: str, wanted: dict, key: str | None = None) -> dict:
+    """Values at 0-based ranks of a few groups: ``{(group, rank): (value, smaller values)}``.
+
+    Like ``select_ranks`` for groups and ranks known on the driver, which sees
+    at most ``BUCKETS`` counts per group and one row per rank.
+    """
+    group = F.col(key) if key else F.lit(0)
+    rows = df.select(group.alias("_g"), F.col(value).alias("_v")).filter(
+        F.col("_v").isNotNull() & F.col("_g").isin(list(wanted)))
+    spans = {r["_g"]: (r["lo"], r["hi"]) for r in rows.groupBy("_g").agg(
+        F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()}
+    bucket = F.lit(None).cast("int")
+    for g, (lo, hi) in spans.items():
+        if hi > lo:
+            at = F.least(F.floor((F.col("_v") - F.lit(lo)) * F.lit(BUCKETS / (hi - lo))), F.lit(BUCKETS - 1))
+        else:
+            at = F.lit(0)
+        bucket = F.when(F.col("_g") == F.lit(g), at.cast("int")).otherwise(bucket)
+    bucketed = rows.withColumn("_b", bucket)
+    before: dict = {}
+    hits = []
+    for g, b, n in sorted(bucketed.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("n")).collect()):
+        start = before.get(g, 0)
+        hits += [(g, b, start, r) for r in wanted[g] if start <= r < start + n]
+        before[g] = start + n
+    if not hits:
+        return {}
+    chosen = F.lit(False)
+    for g, b in {(g, b) for g, b, _, _ in hits}:
+        chosen = chosen | ((F.col("_g") == F.lit(g)) & (F.col("_b") == F.lit(b)))
+    upto = Window.partitionBy("_g", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    values = bucketed.filter(chosen).groupBy("_g", "_b", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    values = values.withColumn("_upto", F.sum("_n").over(upto))
+    found = {}
+    for g, b, start, rank in hits:
+        here = (F.col("_g") == F.lit(g)) & (F.col("_b") == F.lit(b))
+        inside = (F.lit(rank - start) >= F.col("_upto") - F.col("_n")) & (F.lit(rank - start) < F.col("_upto"))
+        found[(g, rank)] = (here & inside, start)
+    marks = F.filter(F.array(*[
+        F.when(cond, F.struct(F.lit(i).alias("i"), F.col("_v").alias("v"), (F.col("_upto") - F.col("_n")).alias("s")))
+        for i, (cond, _) in enumerate(found.values())]), lambda x: x.isNotNull())
+    picked = {r["h"]["i"]: (r["h"]["v"], r["h"]["s"]) for r in values.select(F.explode(marks).alias("h")).collect()}
+    return {k: (picked[i][0], start + picked[i][1]) for i, (k, (_, start)) in enumerate(found.items())}
+
+
 def tile_cutoffs(df: DataFrame, value: str, tie: str, tiles: int) -> list[tuple]:
     """Last (value, tie) of each tile but the final one, in the order (value, tie).
 
     Tiles follow NTILE: sizes differ by at most one, larger tiles first. ``tie``
-    must tell rows of equal ``value`` apart. Only tiles-1 pairs reach the driver.
+    must tell rows of equal ``value`` apart. Values hold the ends first; the rows
+    of those few values are then looked at along ``tie``.
     """
-    spark = df.sparkSession
     n = df.filter(F.col(value).isNotNull()).count()
     base, extra = divmod(n, tiles)
-    ends, total = [], 0
-    for i in range(tiles - 1):
-        total += base + (1 if i < extra else 0)
-        ends.append(total - 1)
+    ends = sorted({(i + 1) * base + min(i + 1, extra) - 1 for i in range(tiles - 1)})
     ends = [e for e in ends if 0 <= e < n - 1]
     if not ends:
         return []
-    ranks = spark.createDataFrame([(e,) for e in sorted(set(ends))], "rank bigint")
-    hits = select_ranks(df, value, ranks).collect()
-    within = spark.createDataFrame(
-        [(h["value"], h["rank"] - h["below"]) for h in hits], df.select(F.col(value), F.lit(0).cast("bigint").alias("rank")).schema)
-    tied = df.filter(F.col(value).isin([h["value"] for h in hits]))
-    return sorted((r[value], r["value"]) for r in select_ranks(tied, tie, within, [value]).collect())
+    at_value = pick_ranks(df, value, {0: ends})
+    within: dict = {}
+    for (_, rank), (v, below) in at_value.items():
+        within.setdefault(v, []).append(rank - below)
+    return sorted((v, t) for (v, _), (t, _) in pick_ranks(df, tie, within, value).items())
 
 
 def tile_of(value: Column, tie: Column, cutoffs: list[tuple]) -> Column:

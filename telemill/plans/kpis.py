@@ -37,7 +37,7 @@ def device_kpis(telemetry: DataFrame, snapshots: DataFrame) -> DataFrame:
     devices = places.groupBy("device_id").agg(
         *[F.sum(c).alias(c) for c in totals], F.max("cpu_max").alias("cpu_max"), F.max("temp_max").alias("temp_max"),
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("last_ts"))).alias(c) for c in ("device_type", "location")])
-    p95 = grouped_quantiles(telemetry, ["device_id"], ["cpu_pct"], [0.95])
+    p95 = grouped_quantiles(telemetry, ["device_id"], ["cpu_pct"], [0.95], rule="lower")
     reconnects = snapshots.groupBy("device_id").agg(F.max("reconnect_count").alias("reconnect_count"))
     kpis = devices.join(p95, "device_id", "left").join(reconnects, "device_id", "left").select(
         "device_id",

@@ -26,6 +26,20 @@ def pct(part: str, whole: str = "COUNT(*)") -> str:
     return f"(CAST({part} AS DOUBLE) * CAST(100 AS DOUBLE) / CAST({whole} AS DOUBLE))"
 
 
+def quantile(x: str, p: float, rule: str = "nearer") -> str:
+    """Linear quantile spelled out as the data-frame libraries compute it.
+
+    ``nearer`` starts from the closer of the two readings (whole columns),
+    ``lower`` from the smaller one (grouped quantiles).
+    """
+    items = f"list_sort(list(CAST({x} AS DOUBLE)) FILTER (WHERE {x} IS NOT NULL))"
+    place = f"((COUNT({x}) - 1) * CAST({p} AS DOUBLE))"
+    lo, hi = (f"{items}[CAST({f}{place} AS BIGINT) + 1]" for f in ("floor", "ceil"))
+    part = f"({place} - floor({place}))"
+    low = f"{lo} + ({hi} - {lo}) * {part}"
+    return f"({low})" if rule == "lower" else f"(CASE WHEN {part} >= 0.5 THEN {hi} - ({hi} - {lo}) * (1 - {part}) ELSE {low} END)"
+
+
 def cnt(condition: str) -> str:
     return f"CAST(COUNT(*) FILTER (WHERE {condition}) AS BIGINT)"
 
@@ -83,7 +97,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     # per-device detectors
     "dstats": (["tel"], "SELECT device_id" + "".join(
         f", AVG({f}) AS {f}_m, STDDEV_POP({f}) AS {f}_s, COUNT({f}) AS {f}_n, "
-        f"quantile_cont(CAST({f} AS DOUBLE), 0.25) AS {f}_q1, quantile_cont(CAST({f} AS DOUBLE), 0.75) AS {f}_q3"
+        f"{quantile(f, 0.25)} AS {f}_q1, {quantile(f, 0.75)} AS {f}_q3"
         for f in ("cpu_pct", "ram_pct", "temperature_c", "signal_dbm")) + " FROM tel GROUP BY device_id"),
     "zrows": (["tel", "dstats"], "SELECT t.*" + "".join(
         f", CASE WHEN {f}_n < 10 THEN CAST(0 AS DOUBLE) ELSE ABS({f} - {f}_m) / NULLIF({f}_s, 0) END AS z_{f}"
@@ -126,10 +140,10 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "uniq": (["filled"], "SELECT DISTINCT * FROM filled"),
     "kelvin": (["uniq"], """SELECT * REPLACE (CASE WHEN air_temp_k < 100 THEN air_temp_k + CAST(273.15 AS DOUBLE)
       ELSE air_temp_k END AS air_temp_k) FROM uniq"""),
-    "fence": (["uniq"], """SELECT GREATEST(r1 - 3 * (r3 - r1), 0) AS rlo, r3 + 3 * (r3 - r1) AS rhi,
+    "fence": (["uniq"], f"""SELECT GREATEST(r1 - 3 * (r3 - r1), 0) AS rlo, r3 + 3 * (r3 - r1) AS rhi,
       GREATEST(t1 - 3 * (t3 - t1), 0) AS tlo, t3 + 3 * (t3 - t1) AS thi FROM (
-      SELECT quantile_cont(CAST(rotational_speed_rpm AS DOUBLE), 0.25) AS r1, quantile_cont(CAST(rotational_speed_rpm AS DOUBLE), 0.75) AS r3,
-        quantile_cont(torque_nm, 0.25) AS t1, quantile_cont(torque_nm, 0.75) AS t3 FROM uniq) q"""),
+      SELECT {quantile('rotational_speed_rpm', 0.25)} AS r1, {quantile('rotational_speed_rpm', 0.75)} AS r3,
+        {quantile('torque_nm', 0.25)} AS t1, {quantile('torque_nm', 0.75)} AS t3 FROM uniq) q"""),
     "clipped": (["kelvin", "fence"], """SELECT k.* REPLACE (
       LEAST(GREATEST(CAST(rotational_speed_rpm AS DOUBLE), rlo), rhi) AS rotational_speed_rpm,
       LEAST(GREATEST(torque_nm, tlo), thi) AS torque_nm) FROM kelvin k, fence"""),
@@ -429,7 +443,7 @@ _KPIS = f"""SELECT device_id, avg_cpu_pct, max_cpu_pct, p95_cpu_pct, avg_ram_pct
  device_type, location, reconnect_count, round_even(LEAST(GREATEST(CAST(100 AS DOUBLE) - max_cpu_pct * CAST(0.3 AS DOUBLE)
   - (max_temp_c - CAST(40 AS DOUBLE)) * CAST(0.5 AS DOUBLE) - anomaly_count * CAST(2 AS DOUBLE), 0), 100), 1) AS health_score
 FROM (SELECT device_id, round_even({avg('cpu_pct')}, 1) AS avg_cpu_pct, round_even(MAX(cpu_pct), 1) AS max_cpu_pct,
-  round_even(quantile_cont(cpu_pct, 0.95), 1) AS p95_cpu_pct, round_even({avg('ram_pct')}, 1) AS avg_ram_pct,
+  round_even({quantile('cpu_pct', 0.95, 'lower')}, 1) AS p95_cpu_pct, round_even({avg('ram_pct')}, 1) AS avg_ram_pct,
   round_even({avg('temperature_c')}, 1) AS avg_temp_c, round_even(MAX(temperature_c), 1) AS max_temp_c,
   round_even({iavg('signal_dbm')}, 0) AS avg_signal_dbm, {cnt('is_anomaly')} AS anomaly_count,
   arg_max(device_type, timestamp) AS device_type, arg_max(location, timestamp) AS location FROM tel GROUP BY device_id) d
@@ -502,8 +516,8 @@ ORACLES["clean_machines"] = over("clean", "SELECT * FROM clean")
 ORACLES["profile_clean"] = over("clean", _profile("clean", CLEAN_TYPES))
 ORACLES["describe_features"] = over("clean", " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, COUNT({c}) AS value_count, round_even(AVG({c}), 2) AS mean, round_even(STDDEV_SAMP({c}), 2) AS std,
- round_even(MIN({c}), 2) AS min, round_even(quantile_cont({c}, 0.25), 2) AS q25, round_even(quantile_cont({c}, 0.5), 2) AS q50,
- round_even(quantile_cont({c}, 0.75), 2) AS q75, round_even(MAX({c}), 2) AS max FROM clean"""
+ round_even(MIN({c}), 2) AS min, round_even({quantile(c, 0.25)}, 2) AS q25, round_even({quantile(c, 0.5)}, 2) AS q50,
+ round_even({quantile(c, 0.75)}, 2) AS q75, round_even(MAX({c}), 2) AS max FROM clean"""
     for c in ("power_w", "temp_diff_k", "wear_torque_product", "speed_torque_product")))
 _RATE = pct("COUNT(*) FILTER (WHERE machine_failure)")
 _FAILED = cnt("machine_failure")
@@ -514,9 +528,9 @@ UNION ALL SELECT 'rate_by_stage', wear_stage, ROUND({_RATE}, 1), {_FAILED}, CASE
  FROM clean WHERE wear_stage IS NOT NULL GROUP BY wear_stage
 UNION ALL SELECT * FROM (SELECT 'top_mode', mode, CAST(NULL AS DOUBLE), events, '' FROM (""" + " UNION ALL ".join(
     f"SELECT {i} AS o, '{m}' AS mode, {cnt('failure_' + m.lower())} AS events FROM clean" for i, m in enumerate(("TWF", "HDF", "PWF", "OSF", "RNF")))
-    + """) m ORDER BY events DESC, o LIMIT 1) t
-UNION ALL SELECT 'threshold', 'torque_above', ROUND(quantile_cont(torque_nm, 0.75), 1), NULL, 'elevated failure risk' FROM clean WHERE machine_failure
-UNION ALL SELECT 'threshold', 'speed_below', ROUND(quantile_cont(rotational_speed_rpm, 0.25), 0), NULL, 'elevated failure risk' FROM clean WHERE machine_failure""")
+    + f""") m ORDER BY events DESC, o LIMIT 1) t
+UNION ALL SELECT 'threshold', 'torque_above', ROUND({quantile('torque_nm', 0.75)}, 1), NULL, 'elevated failure risk' FROM clean WHERE machine_failure
+UNION ALL SELECT 'threshold', 'speed_below', ROUND({quantile('rotational_speed_rpm', 0.25)}, 0), NULL, 'elevated failure risk' FROM clean WHERE machine_failure""")
 ORACLES["class_histograms"] = over_hist("clean", " UNION ALL ".join(
     f"""SELECT '{f}' AS feature, CASE WHEN machine_failure THEN 'failure' ELSE 'normal' END AS outcome, CAST({f} AS DOUBLE) AS v
  FROM clean WHERE {f} IS NOT NULL""" for f in ("torque_nm", "rotational_speed_rpm", "tool_wear_min", "wear_torque_product")),
@@ -562,12 +576,12 @@ for _name, _col, _out in (("top_cpu", "cpu_pct", "avg_cpu_pct"), ("top_temp", "t
 ORACLES["location_means"] = over("tel", f"""
 SELECT location, round_even({avg('cpu_pct')}, 1) AS avg_cpu_pct, round_even({avg('temperature_c')}, 1) AS avg_temp_c,
  round_even({iavg('signal_dbm')}, 1) AS avg_signal_dbm FROM tel GROUP BY location""")
-ORACLES["cpu_boxplot"] = over("tel", """
+ORACLES["cpu_boxplot"] = over("tel", f"""
 SELECT device_type, ROUND(q1, 9) AS q1, ROUND(median, 9) AS median, ROUND(q3, 9) AS q3, COUNT(cpu_pct) AS readings, MIN(cpu_pct) AS min,
  MAX(cpu_pct) AS max, MIN(CASE WHEN inside THEN cpu_pct END) AS whisker_lo, MAX(CASE WHEN inside THEN cpu_pct END) AS whisker_hi,
  COUNT(*) FILTER (WHERE NOT inside) AS outliers
 FROM (SELECT *, cpu_pct >= q1 - CAST(1.5 AS DOUBLE) * (q3 - q1) AND cpu_pct <= q3 + CAST(1.5 AS DOUBLE) * (q3 - q1) AS inside
- FROM tel JOIN (SELECT device_type, quantile_cont(cpu_pct, 0.25) AS q1, quantile_cont(cpu_pct, 0.5) AS median, quantile_cont(cpu_pct, 0.75) AS q3
+ FROM tel JOIN (SELECT device_type, {quantile('cpu_pct', 0.25)} AS q1, {quantile('cpu_pct', 0.5)} AS median, {quantile('cpu_pct', 0.75)} AS q3
   FROM tel GROUP BY device_type) q USING (device_type)) t GROUP BY device_type, q1, median, q3""")
 ORACLES["signal_histogram"] = over_hist("tel", "SELECT CAST(signal_dbm AS DOUBLE) AS v FROM tel", "", 20,
     "SELECT bin, ROUND(bin_lo, 9) AS bin_lo, ROUND(bin_hi, 9) AS bin_hi, n FROM histo")
