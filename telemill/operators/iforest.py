@@ -11,14 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import checkpointed
-from .joins import sized
 
 TREES = 100
 SAMPLE = 256
 POOL = 4096
 SEED = 42
 MIN_ROWS = 20
-ROWS_PER_TASK = 200_000
+ROWS_PER_TASK = 100_000
 SCORE_DIGITS = 6
 CHUNK = 2048
 EULER_GAMMA = 0.5772156649015329
@@ -99,78 +98,113 @@ def score_rows(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, path: np.nda
     return np.power(2.0, -(total / trees) / expected)
 
 
-def _train(key: str, features: list[str], seed: int):
+def _sample(x: np.ndarray, hashes: np.ndarray, pool: int) -> np.ndarray:
+    """The complete rows with the smallest hashes, in that order."""
+    order = np.lexsort((*x.T[::-1], hashes))
+    return x[order[:pool]]
+
+
+def _forest(device, x: np.ndarray, seed: int):
+    """Trees of one device. Shifting and scaling a feature leave uniform splits
+    unchanged, so the readings are used as they are."""
+    return grow_forest(x, np.random.default_rng([seed, zlib.crc32(str(device).encode())]))
+
+
+def _matrix(rows: pa.Table, features: list[str]) -> np.ndarray:
+    return np.column_stack([rows.column(f).to_numpy(zero_copy_only=False).astype("float64") for f in features])
+
+
+def _with_scores(rows: pa.Table, x: np.ndarray, forest) -> pa.Table:
+    whole = ~np.isnan(x).any(axis=1)
+    out = np.zeros(len(x))
+    if whole.any():
+        out[whole] = np.round(score_rows(x[whole], *forest), SCORE_DIGITS)
+    return rows.append_column("iforest_score", pa.array(out, pa.float64(), mask=~whole))
+
+
+def _train(key: str, features: list[str], seed: int, pool: int):
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        device = pdf[key].iloc[0]
-        pdf = pdf.sort_values(["_hash", *features], kind="stable")
-        # shifting and scaling leave uniform splits unchanged; one row per feature keeps the scorer simple
-        x = pdf[features].to_numpy(dtype="float64")
-        rng = np.random.default_rng([seed, zlib.crc32(str(device).encode())])
-        feature, cut, path, size = grow_forest(x, rng)
+        x = _sample(pdf[features].to_numpy(dtype="float64"), pdf["_hash"].to_numpy(), pool)
+        feature, cut, path, size = _forest(pdf[key].iloc[0], x, seed)
         return pd.DataFrame({
-            key: [device], "_trees": [feature.shape[0]], "_size": [size], "_feature": [feature.tobytes()],
-            "_cut": [cut.astype("float64").tobytes()], "_path": [path.astype("float32").tobytes()]})
+            key: [pdf[key].iloc[0]], "_trees": [feature.shape[0]], "_size": [size], "_feature": [feature.tobytes()],
+            "_cut": [cut.tobytes()], "_path": [path.tobytes()]})
     return train
 
 
 def _score(features: list[str]):
+    """Score one part of a large device with its model."""
     def score(rows: pa.Table, model: pa.Table) -> pa.Table:
-        if rows.num_rows == 0:
-            return rows.append_column("iforest_score", pa.array([], pa.float64()))
-        if model.num_rows == 0:
+        if not rows.num_rows or not model.num_rows:
             return rows.append_column("iforest_score", pa.array([0.0] * rows.num_rows, pa.float64()))
         m = {c: model.column(c)[0].as_py() for c in ("_trees", "_size", "_feature", "_cut", "_path")}
-        feature = np.frombuffer(m["_feature"], dtype="int8").reshape(m["_trees"], -1)
-        cut = np.frombuffer(m["_cut"], dtype="float64").reshape(m["_trees"], -1)
-        path = np.frombuffer(m["_path"], dtype="float32").reshape(m["_trees"], -1)
-        x = np.column_stack([rows.column(f).to_numpy(zero_copy_only=False).astype("float64") for f in features])
-        whole = ~np.isnan(x).any(axis=1)
-        out = np.full(len(x), np.nan)
-        if whole.any():
-            out[whole] = np.round(score_rows(x[whole], feature, cut, path, m["_size"]), SCORE_DIGITS)
-        return rows.append_column("iforest_score", pa.array(out, pa.float64(), mask=~whole))
+        arrays = [np.frombuffer(m[c], dtype=t).reshape(m["_trees"], -1)
+                  for c, t in (("_feature", "int8"), ("_cut", "float64"), ("_path", "float64"))]
+        return _with_scores(rows, _matrix(rows, features), (*arrays, m["_size"]))
     return score
 
 
+def _train_and_score(key: str, features: list[str], seed: int, pool: int):
+    """Everything for one device of bounded size."""
+    def run(rows: pa.Table) -> pa.Table:
+        x = _matrix(rows, features)
+        hashes = rows.column("_hash").to_numpy()
+        rows = rows.drop_columns(["_hash"])
+        whole = ~np.isnan(x).any(axis=1)
+        if whole.sum() < MIN_ROWS:
+            return rows.append_column("iforest_score", pa.array(np.zeros(len(x)), pa.float64()))
+        return _with_scores(rows, x, _forest(rows.column(key)[0].as_py(), _sample(x[whole], hashes[whole], pool), seed))
+    return run
+
+
 def isolation_scores(df: DataFrame, key: str, row_id: str, features: list[str], seed: int = SEED,
                      pool: int = POOL, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Add ``iforest_score`` (higher is odder) to every row.
 
-    Groups with fewer than 20 complete rows score 0; rows with a null feature
-    in other groups score null. A uniform sample of at most ``pool`` rows per
-    group, chosen by row hash, feeds the trees; a group's rows are scored in
-    salted parts of about ``rows_per_task`` rows, each with a copy of the model.
+    Groups with fewer than 20 complete rows score 0; rows with a null feature in
+    other groups score null. A uniform sample of at most ``pool`` rows per group,
+    the smallest row hashes, feeds the trees. Groups of up to ``rows_per_task``
+    rows are trained and scored in one go. Larger ones are trained on their
+    sample alone and scored in salted parts, each with a copy of the model; both
+    ways give the same scores.
     """
     whole = F.lit(True)
     for f in features:
         whole = whole & F.col(f).isNotNull()
-    hashed = F.xxhash64(F.col(row_id), F.lit(seed))
-    sizes = sized(df.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count_if(whole).alias("_whole")))
-
-    # The share is set so that far fewer than `pool` rows can be missing or kept too many;
-    # the limit per group below makes the bound exact.
-    drawn = df.filter(whole & F.col(key).isNotNull()).select(key, row_id, *features).join(sizes, key)
-    share = F.lit(1.2 * pool) / F.col("_whole")
-    uniform = (F.shiftrightunsigned(hashed, 11)).cast("double") / F.lit(float(2**53))
-    drawn = (
-        drawn.filter((F.col("_whole") >= MIN_ROWS) & (uniform < share))
-        .withColumn("_hash", hashed)
-    )
-    smallest = F.row_number().over(Window.partitionBy(key).orderBy("_hash", row_id))
-    sample = drawn.withColumn("_nth", smallest).filter(F.col("_nth") <= pool).select(key, "_hash", *features)
-    model_schema = f"{key} {df.schema[key].dataType.simpleString()}, _trees int, _size int, _feature binary, _cut binary, _path binary"
-    models = sample.groupBy(key).applyInPandas(_train(key, features, seed), model_schema)
-
-    parts = F.greatest(F.ceil(F.col("_rows") / F.lit(float(rows_per_task))), F.lit(1))
-    salted_rows = df.join(sizes.withColumn("_parts", parts).select(key, "_parts"), key, "left")
-    salted_rows = salted_rows.withColumn(
-        "_part", F.coalesce(F.pmod(F.xxhash64(F.lit("part"), F.col(row_id)), F.col("_parts")), F.lit(0)).cast("bigint")
-    ).drop("_parts")
-    salted_models = models.join(sizes.withColumn("_parts", parts).select(key, "_parts"), key).withColumn(
+    out = T.StructType([*df.schema.fields, T.StructField("iforest_score", T.DoubleType())])
+    hashed = df.withColumn("_hash", F.xxhash64(F.col(row_id), F.lit(seed)))
+    sizes = checkpointed(
+        df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.count_if(whole).alias("_whole")))
+    large = sizes.filter(F.col("_rows") > rows_per_task)
+    # Growing trees costs time, not bytes: fix the number of tasks, or small shuffles would be merged into few.
+    total = sizes.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(shuffle, math.ceil(total / rows_per_task))
+    if large.isEmpty():
+        spread = hashed.repartition(tasks, key)
+        return checkpointed(spread.groupBy(key).applyInArrow(_train_and_score(key, features, seed, pool), out))
+
+    # at most total/rows_per_task groups are large, so that list is safe to broadcast
+    large = F.broadcast(large)
+    small_rows = hashed.join(large.select(key), key, "left_anti").repartition(tasks, key)
+    small_scored = small_rows.groupBy(key).applyInArrow(_train_and_score(key, features, seed, pool), out)
+
+    # The share leaves a little more than the pool of a large group; the exact cut follows.
+    big_rows = hashed.join(large, key)
+    share = F.lit(1.2 * pool) / F.greatest(F.col("_whole"), F.lit(1))
+    uniform = (F.col("_hash").cast("double") + F.lit(float(2**63))) / F.lit(float(2**64))
+    drawn = big_rows.filter(whole & (F.col("_whole") >= MIN_ROWS) & (uniform < share))
+    nth = F.row_number().over(Window.partitionBy(key).orderBy("_hash", *features))
+    sample = drawn.withColumn("_nth", nth).filter(F.col("_nth") <= pool).select(key, "_hash", *features)
+    model = f"{key} {df.schema[key].dataType.simpleString()}, _trees int, _size int, _feature binary, _cut binary, _path binary"
+    models = sample.groupBy(key).applyInPandas(_train(key, features, seed, pool), model)
+
+    parts = F.ceil(F.col("_rows") / F.lit(float(rows_per_task)))
+    part = F.pmod(F.xxhash64(F.lit("part"), F.col(row_id)), parts)
+    salted_rows = big_rows.withColumn("_part", part).select(*df.columns, "_part")
+    salted_models = models.join(large.select(key, parts.alias("_parts")), key).withColumn(
         "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))).drop("_parts")
-    out = T.StructType([*salted_rows.schema.fields, T.StructField("iforest_score", T.DoubleType())])
-    scored = salted_rows.groupBy(key, "_part").cogroup(salted_models.groupBy(key, "_part")).applyInArrow(
-        _score(features), out)
-    return checkpointed(scored.drop("_part"))
-
+    with_part = T.StructType([*salted_rows.schema.fields, T.StructField("iforest_score", T.DoubleType())])
+    big_scored = salted_rows.groupBy(key, "_part").cogroup(salted_models.groupBy(key, "_part")).applyInArrow(
+        _score(features), with_part)
+    return checkpointed(small_scored.unionByName(big_scored.drop("_part")))
