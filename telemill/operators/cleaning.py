@@ -153,7 +153,7 @@ def _interpolate(found: DataFrame, column: str, keep: list[str]) -> DataFrame:
     value = F.when(one_value, F.col("_first")).when(
         few, F.bround(_line(column, F.col("_start") + F.col("_i")))).otherwise(k)
     copies = F.when(one_value, F.col("copies")).when(few, F.lit(1)).otherwise(end_of(k) - end_of(k - up))
-    whole = rows.withColumn("copies", copies.cast("bigint")).withColumn(column, value.cast("bigint"))
+    whole = rows.withColumns({"copies": copies.cast("bigint"), column: value.cast("bigint")})
     return whole.groupBy(*keep).agg(F.sum("copies").alias("copies"))
 
 

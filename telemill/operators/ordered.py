@@ -35,7 +35,9 @@ def slice_by_range(df: DataFrame, order: str, rows: int = ROWS_PER_SLICE, name:
         return df.withColumn(name, F.lit(0).cast("bigint"))
     width = (hi - lo) / slices
     at = F.floor((F.col(order) - F.lit(lo)) / F.lit(float(width)))
-    return df.withColumn(name, F.coalesce(F.least(at, F.lit(slices - 1)), F.lit(-1)).cast("bigint"))
+    # least() skips nulls, so they are told apart first
+    number = F.when(F.col(order).isNull(), -1).otherwise(F.least(at, F.lit(slices - 1)))
+    return df.withColumn(name, number.cast("bigint"))
 
 
 def slice_hot_groups(df: DataFrame, key: str, ts: str, rows: int = ROWS_PER_SLICE,
@@ -57,7 +59,8 @@ def slice_hot_groups(df: DataFrame, key: str, ts: str, rows: int = ROWS_PER_SLIC
     slices = F.ceil(F.col("_n") / F.lit(float(rows)))
     width = F.greatest((F.col("_hi") - F.col("_lo")) / slices, F.lit(1.0))
     hot = hot.select(key, F.col("_lo"), width.alias("_width"), slices.alias("_slices"))
-    at = F.least(F.floor((micros - F.col("_lo")) / F.col("_width")), F.col("_slices") - 1)
+    at = F.when(micros.isNotNull(), F.least(F.floor((micros - F.col("_lo")) / F.col("_width")), F.col("_slices") - 1))
+    at = F.when(F.col("_slices").isNotNull() & micros.isNull(), -1).otherwise(at)
     cut = df.join(F.broadcast(hot), key, "left").withColumn(name, F.coalesce(at, F.lit(0)).cast("bigint"))
     return cut.drop("_lo", "_width", "_slices"), True
 
