@@ -152,12 +152,11 @@ def cleaning_log(raw: DataFrame) -> DataFrame:
     padded = len(cleaning.header_audit(raw))
     named = cleaning.strip_headers(raw)
     numeric = cleaning.coerce_wear(named)
-    collapsed = checkpointed(cleaning.collapse_copies(numeric))
-    columns = [c for c in collapsed.columns if c != "copies"]
-    nulls = sum((F.when(F.col(c).isNull(), F.col("copies")).otherwise(0) for c in columns), F.lit(0))
-    sentinels = named.agg(count_true(
-        F.col("tool_wear_raw").isNotNull() & F.trim("tool_wear_raw").try_cast("double").isNull())).first()[0]
-    before = collapsed.agg(F.sum("copies").alias("rows"), F.sum(nulls).alias("nulls")).first()
+    nulls = sum((F.when(F.col(c).isNull(), 1).otherwise(0) for c in numeric.columns), F.lit(0))
+    text = named.withColumn("_text", F.col("tool_wear_raw"))
+    before = cleaning.coerce_wear(text).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(nulls).alias("nulls"),
+        count_true(F.col("_text").isNotNull() & F.col("tool_wear_min").isNull()).alias("sentinels")).first()
     unique = checkpointed(cleaning.dedup_exact(cleaning.impute(numeric)))
     fences = cleaning.clip_fences(unique)
     outside = F.lit(0)
@@ -172,7 +171,7 @@ def cleaning_log(raw: DataFrame) -> DataFrame:
         count_true(contradiction).alias("contradictions")).first()
     log = [
         ("Step 1", "Padded column names", "trimmed", padded),
-        ("Step 2", "Text in the tool wear column", "set to null", sentinels),
+        ("Step 2", "Text in the tool wear column", "set to null", before["sentinels"]),
         ("Step 3", "Missing sensor values", "filled forward, by type median, interpolated", before["nulls"]),
         ("Step 4", "Resent readings", "copies removed", before["rows"] - after["rows"]),
         ("Step 5", "Celsius among Kelvin", "converted", after["celsius"]),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import count_true, mean, pct, rnd
 from ..operators.order_stats import tile_cutoffs, tile_of
-from ..operators.ordered import ROWS_PER_SLICE, block_rows, number_rows, slice_by_range, with_halo
+from ..operators.ordered import ROWS_PER_SLICE, block_rows, number_rows, range_of, slice_by_range, with_halo
 
 # Labels and limits of the machine reports.
 FAILURE_MODES = {
@@ -160,10 +160,10 @@ def rolling_failure_rate(machines: DataFrame, step: int = TREND_STEP, frames: tu
     The sampling is part of the question and comes before the frames.
     """
     sampled = machines.filter(F.col("udi") % step == 0).select("udi", "machine_failure")
-    n = sampled.count()
-    numbered = number_rows(slice_by_range(sampled, "udi", rows), ["udi"], ["slice"])
+    extent = range_of(sampled, "udi")
+    numbered = number_rows(slice_by_range(sampled, "udi", rows, extent=extent), ["udi"], ["slice"])
     reach = max(frames) - 1
-    blocks = with_halo(numbered, "rn", reach, rows=block_rows(sampled, n, reach, rows))
+    blocks = with_halo(numbered, "rn", reach, rows=block_rows(sampled, extent[0], reach, rows))
     order = Window.partitionBy("block").orderBy("rn")
     # count and sum of 0/1 flags are exact, so the rate is too
     rates = {}

@@ -10,7 +10,8 @@ from ..functions import derive
 from ..functions.histogram import histogram
 from ..functions.numeric import mean, rnd
 from ..operators import anomaly, cleaning
-from ..session import apply_conf, checkpointed, new_folder
+from ..operators.ordered import range_of
+from ..session import apply_conf, new_folder
 from ..sources import bindings as B, csv_tables as C, messages as M, points as P
 from ..streaming import ingest as S
 from . import eda, export, fleet, kpis, machine, report
@@ -243,14 +244,14 @@ _over("consensus_by_type", B.telemetry_base, job=lambda t: anomaly.consensus_by_
 _over("method_agreement", B.telemetry_base,
       job=lambda t: anomaly.method_agreement(anomaly.summarise(_two(t), TWO_METHODS), TWO_METHODS))
 _over("top_device_series", B.telemetry_base, job=lambda t: _rounded(
-    anomaly.top_device_series(checkpointed(_two(t))), "iqr_lo_temperature_c", "iqr_hi_temperature_c"))
+    anomaly.top_device_series(_two(t)), "iqr_lo_temperature_c", "iqr_hi_temperature_c"))
 _over("zscore_histogram", B.telemetry_base, job=lambda t: _z_histogram(t))
 _over("isolation_forest", B.telemetry_base, job=lambda t: anomaly.isolation_forest(t).select(
     "id", "device_id", "iforest_score", "iforest_anomaly"))
 _over("consensus_three", B.telemetry_base, job=lambda t: anomaly.detect(t).select("id", "method_count", "consensus_anomaly"))
 _over("anomaly_report", B.telemetry_base, job=lambda t: anomaly.report(anomaly.detect(t)))
 _over("top_consensus", B.telemetry_base, job=lambda t: anomaly.top_consensus(anomaly.detect(t)))
-_over("iforest_threshold", B.telemetry_base, job=lambda t: anomaly.iforest_threshold(checkpointed(anomaly.detect(t))))
+_over("iforest_threshold", B.telemetry_base, job=lambda t: anomaly.iforest_threshold(anomaly.detect(t)))
 _over("anomaly_summary_three", B.telemetry_base, job=lambda t: anomaly.summarise(anomaly.detect(t)))
 _over("method_rates_three", B.telemetry_base, job=lambda t: anomaly.method_rates(anomaly.summarise(anomaly.detect(t))))
 
@@ -272,6 +273,16 @@ def _collapsed(raw: DataFrame) -> DataFrame:
     return cleaning.collapse_copies(cleaning.coerce_wear(raw))
 
 
+def _medians_filled(raw: DataFrame) -> DataFrame:
+    filled = cleaning.fill_group_median(_collapsed(raw), medians=cleaning.group_medians(raw))
+    return filled.groupBy("udi", "type", "torque_nm").agg(F.sum("copies").alias("copies"))
+
+
+def _in_order(step):
+    """A fill over udi slices whose extent is read from the raw rows."""
+    return lambda raw: step(_collapsed(raw), extent=range_of(raw, "udi"))
+
+
 def _padded(raw: DataFrame) -> DataFrame:
     padded = raw.withColumnsRenamed({"air_temp_k": " air_temp_k", "process_temp_k": "process_temp_k  "})
     return cleaning.strip_headers(padded).select("udi", "air_temp_k", "process_temp_k")
@@ -291,11 +302,10 @@ _over("profile", B.machines_raw, job=eda.profile)
 _over("strip_headers", B.machines_raw, job=_padded)
 _over("coerce_numeric", B.machines_raw, job=cleaning.wear_sentinels)
 _over("null_audit", B.machines_raw, job=lambda r: cleaning.null_audit(cleaning.coerce_wear(r)))
-_over("fill_forward", B.machines_raw, job=lambda r: cleaning.fill_forward(_collapsed(r)).groupBy(
+_over("fill_forward", B.machines_raw, job=lambda r: _in_order(cleaning.fill_forward)(r).groupBy(
     "udi", "air_temp_k", "rotational_speed_rpm").agg(F.sum("copies").alias("copies")))
-_over("fill_group_median", B.machines_raw, job=lambda r: cleaning.fill_group_median(_collapsed(r)).groupBy(
-    "udi", "type", "torque_nm").agg(F.sum("copies").alias("copies")))
-_over("interpolate", B.machines_raw, job=lambda r: cleaning.interpolate(_collapsed(r)).groupBy(
+_over("fill_group_median", B.machines_raw, job=_medians_filled)
+_over("interpolate", B.machines_raw, job=lambda r: _in_order(cleaning.interpolate)(r).groupBy(
     "udi", "tool_wear_min").agg(F.sum("copies").alias("copies")))
 _over("dedup_exact", B.machines_raw, job=lambda r: cleaning.dedup_exact(cleaning.imputed_readings(r)))
 _over("celsius_to_kelvin", B.machines_raw, job=_celsius_rows)
@@ -309,10 +319,10 @@ _over("features", B.machines_base, job=lambda m: B.with_machine_features(m).sele
 _over("wear_stage", B.machines_base, job=lambda m: m.select(
     "udi", "tool_wear_min", derive.wear_stage(F.col("tool_wear_min")).alias("wear_stage")))
 _over("clean_machines", B.machines_raw, job=cleaning.clean_machines)
-_over("profile_clean", B.machines_raw, job=lambda r: eda.profile(checkpointed(cleaning.clean_machines(r))))
-_over("describe_features", B.machines_raw, job=lambda r: eda.describe(checkpointed(cleaning.clean_machines(r))))
-_over("key_findings", B.machines_raw, job=lambda r: eda.key_findings(checkpointed(cleaning.clean_machines(r))))
-_over("class_histograms", B.machines_raw, job=lambda r: eda.class_histograms(checkpointed(cleaning.clean_machines(r))).select(
+_over("profile_clean", B.machines_raw, job=lambda r: eda.profile(cleaning.clean_machines(r)))
+_over("describe_features", B.machines_raw, job=lambda r: eda.describe(cleaning.clean_machines(r)))
+_over("key_findings", B.machines_raw, job=lambda r: eda.key_findings(cleaning.clean_machines(r)))
+_over("class_histograms", B.machines_raw, job=lambda r: eda.class_histograms(cleaning.clean_machines(r)).select(
     "feature", "outcome", "bin", rnd("bin_lo", 6).alias("bin_lo"), rnd("bin_hi", 6).alias("bin_hi"), "n",
     rnd("density", 9).alias("density")))
 _over("air_histogram", B.machines_raw, job=lambda r: eda.air_histogram(cleaning.deduplicated(r)).select(
