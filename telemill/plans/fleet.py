@@ -40,15 +40,16 @@ def _with_status(metrics: DataFrame, status: DataFrame, *columns: str) -> DataFr
 
 
 def fleet_health(telemetry: DataFrame, status: DataFrame) -> DataFrame:
-    devices = _with_status(device_metrics(telemetry), status, "connection_status")
+    online = F.when(F.col("connection_status") == "Online", 1).when(F.col("connection_status") == "Offline", 0)
+    devices = _with_status(device_metrics(telemetry), status.withColumn("online", online), "online")
     per_device = devices.groupBy("device_id").agg(
-        F.max("connection_status").alias("connection_status"),
+        F.max("online").alias("online"),
         *[F.sum(c).alias(c) for c in ("n", "cpu_units", "cpu_n", "temp_units", "temp_n", "anomalies")],
         F.max("temp_max").alias("temp_max"))
     fleet = per_device.agg(
         F.count("device_id").alias("total_devices"),
-        count_true((F.col("connection_status") == "Online") & F.col("device_id").isNotNull()).alias("online_devices"),
-        count_true((F.col("connection_status") == "Offline") & F.col("device_id").isNotNull()).alias("offline_devices"),
+        count_true((F.col("online") == 1) & F.col("device_id").isNotNull()).alias("online_devices"),
+        count_true((F.col("online") == 0) & F.col("device_id").isNotNull()).alias("offline_devices"),
         *[F.sum(c).alias(c) for c in ("n", "cpu_units", "cpu_n", "temp_units", "temp_n", "anomalies")],
         F.max("temp_max").alias("temp_max"))
     return fleet.select(

@@ -154,10 +154,13 @@ def status_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_per_device(snapshots: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """The newest snapshot of each device: one hash aggregate, combined map-side."""
+    """The newest snapshot of each device, combined map-side.
+
+    One aggregate per column: those a query does not use are pruned with their
+    scan columns, and numbers alone stay in a hash aggregate.
+    """
     rest = [c for c in snapshots.columns if c != "device_id"]
-    newest = snapshots.groupBy("device_id").agg(F.max_by(F.struct(*rest), ts).alias("s"))
-    return newest.select("device_id", "s.*")
+    return snapshots.groupBy("device_id").agg(*[F.max_by(c, ts).alias(c) for c in rest])
 
 
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,14 +140,14 @@ def stream_latest_status(messages: DataFrame, folder: str) -> StreamingQuery:
     """Latest status per device, kept as state; every batch writes the devices that changed."""
     points = M.status_points(M.classified(messages))
     rest = [c for c in points.columns if c != "device_id"]
-    newest = points.groupBy("device_id").agg(F.max_by(F.struct(*rest), "time").alias("s")).select("device_id", "s.*")
+    newest = points.groupBy("device_id").agg(*[F.max_by(c, "time").alias(c) for c in rest])
     return _run(derive.with_status_classes(newest), folder, "update", _append_batches(f"{folder}/out", []))
 
 
 def read_latest_status(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.parquet(f"{folder}/out")
     rest = [c for c in rows.columns if c not in ("device_id", "batch_id")]
-    return rows.groupBy("device_id").agg(F.max_by(F.struct(*rest), "batch_id").alias("s")).select("device_id", "s.*")
+    return rows.groupBy("device_id").agg(*[F.max_by(c, "batch_id").alias(c) for c in rest])
 
 
 def hourly(points: DataFrame, lateness: str = LATENESS) -> DataFrame:
