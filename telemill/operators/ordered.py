@@ -40,29 +40,34 @@ def slice_by_range(df: DataFrame, order: str, rows: int = ROWS_PER_SLICE, name:
     return df.withColumn(name, number.cast("bigint"))
 
 
-def slice_hot_groups(df: DataFrame, key: str, ts: str, rows: int = ROWS_PER_SLICE,
+def slice_by_order(df: DataFrame, order: list[str], slices: int, name: str = "slice") -> DataFrame:
+    """Cut rows into ranges of a composite order, whatever its types and ties.
+
+    Spark samples the borders, so the cut is kept on shared storage: computed
+    anew it could fall elsewhere.
+    """
+    ranged = df.repartitionByRange(slices, *order)
+    return checkpointed(ranged.withColumn(name, F.spark_partition_id().cast("bigint")))
+
+
+def slice_hot_groups(df: DataFrame, key: str, order: list[str], rows: int = ROWS_PER_SLICE,
                      name: str = "slice") -> tuple[DataFrame, bool]:
-    """Cut groups of more than ``rows`` rows into time slices.
+    """Cut groups of more than ``rows`` rows into ranges of ``order``; others stay in slice 0.
 
     Returns the frame and whether any group had to be cut; if none had, a
     plain window per group is balanced enough and the frame is unchanged.
     At most total/rows groups can be hot, so that list is safe to broadcast.
+    Ranges over the whole order also split rows that share one time stamp.
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    hot = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi"))
-        .filter(F.col("_n") > rows)
-    )
-    if hot.isEmpty():
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows)
+    hot_rows = hot.agg(F.sum("_n")).first()[0]
+    if not hot_rows:
         return df, False
-    slices = F.ceil(F.col("_n") / F.lit(float(rows)))
-    width = F.greatest((F.col("_hi") - F.col("_lo")) / slices, F.lit(1.0))
-    hot = hot.select(key, F.col("_lo"), width.alias("_width"), slices.alias("_slices"))
-    at = F.when(micros.isNotNull(), F.least(F.floor((micros - F.col("_lo")) / F.col("_width")), F.col("_slices") - 1))
-    at = F.when(F.col("_slices").isNotNull() & micros.isNull(), -1).otherwise(at)
-    cut = df.join(F.broadcast(hot), key, "left").withColumn(name, F.coalesce(at, F.lit(0)).cast("bigint"))
-    return cut.drop("_lo", "_width", "_slices"), True
+    hot = F.broadcast(checkpointed(hot.select(key)))
+    slices = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(hot_rows / rows))
+    cut = slice_by_order(df.join(hot, key, "left_semi"), [key, *order], slices, name)
+    rest = df.join(hot, key, "left_anti").withColumn(name, F.lit(0).cast("bigint"))
+    return rest.unionByName(cut), True
 
 
 def _totals_before(totals: DataFrame, keys: list[str], slices: list[Column], column: str, out: str) -> DataFrame:

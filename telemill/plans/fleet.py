@@ -133,7 +133,7 @@ def _per_device(telemetry: DataFrame, reach: int, rows: int) -> tuple[DataFrame,
     If a device holds more than ``rows`` readings, all rows are numbered and cut
     into equal blocks with a halo; otherwise one window per device will do.
     """
-    cut, is_cut = slice_hot_groups(telemetry, "device_id", "timestamp", rows)
+    cut, is_cut = slice_hot_groups(telemetry, "device_id", ["timestamp", "id"], rows)
     if not is_cut:
         return telemetry, ["device_id"], False
     numbered = number_rows(cut, ["timestamp", "id"], ["slice"], ["device_id"])

@@ -95,7 +95,8 @@ _over("range_scan", B.telemetry_base, job=lambda t: P.range_scan(t, 6))
 _over("unpivot_fields", B.telemetry_base, job=P.unpivot_fields)
 _over("pivot_fields", B.telemetry_base, job=lambda t: P.pivot_fields(P.unpivot_fields(t)))
 _over("latest_status", B.status, job=lambda s: s)
-_over("surrogate_id", B.telemetry_base, job=lambda t: P.surrogate_id(t.select("timestamp", "device_id", "id")))
+_over("surrogate_id", B.telemetry_base, job=lambda t: P.surrogate_id(
+    t.select("timestamp", "device_id", "id"), ["timestamp", "device_id", "id"]))
 
 
 @query("normalise_result")

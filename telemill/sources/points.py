@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime
 import functools
+import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..operators.ordered import ROWS_PER_SLICE, number_rows, slice_by_range
+from ..operators.ordered import ROWS_PER_SLICE, number_rows, slice_by_order
 
 TELEMETRY_KEYS = ["timestamp", "device_id", "device_type", "location", "is_anomaly"]
 TELEMETRY_FIELDS = ["cpu_pct", "ram_pct", "temperature_c", "signal_dbm", "uptime_s"]
@@ -51,12 +52,10 @@ def normalise_result(tables: list[DataFrame]) -> DataFrame:
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [plain(t) for t in tables])
 
 
-def surrogate_id(df: DataFrame, ts: str = "timestamp", then: list[str | Column] = ("device_id",),
-                 rows: int = ROWS_PER_SLICE, out: str = "surrogate_id") -> DataFrame:
-    """Dense 1-based ids in the order of time and the given columns."""
-    timed = df.withColumn("_micros", F.unix_micros(F.col(ts).cast("timestamp")))
-    numbered = number_rows(slice_by_range(timed, "_micros", rows), [ts, *then], ["slice"], out=out)
-    return numbered.drop("_micros", "slice")
+def surrogate_id(df: DataFrame, order: list[str], rows: int = ROWS_PER_SLICE, out: str = "surrogate_id") -> DataFrame:
+    """Dense 1-based ids in the given order, which should tell all rows apart."""
+    slices = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / rows))
+    return number_rows(slice_by_order(df, order, slices), order, ["slice"], out=out).drop("slice")
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -94,7 +94,7 @@ def test_ranges_pivots_and_ids(spark):
     assert P.range_scan(df, 6).count() == 7
     assert P.range_scan(df, 2, as_of=T0 + datetime.timedelta(hours=3)).count() == 9
     assert P.range_scan(df.filter("false"), 6).count() == 0
-    ids = sorted((r["surrogate_id"], r["cpu"]) for r in P.surrogate_id(df, rows=3).collect())
+    ids = sorted((r["surrogate_id"], r["cpu"]) for r in P.surrogate_id(df, ["timestamp", "device_id"], rows=3).collect())
     assert ids == [(i + 1, float(i)) for i in range(10)]
     long = P.unpivot_fields(df, ["timestamp", "device_id"], ["cpu"])
     assert P.pivot_fields(long, ["timestamp", "device_id"], ["cpu"]).exceptAll(df).count() == 0

@@ -70,13 +70,18 @@ def test_rank_with_ties(spark, rows):
 
 
 def test_only_hot_groups_are_cut(spark):
-    data = [("hot", i) for i in range(900)] + [("cold", i) for i in range(30)]
-    df = spark.createDataFrame(data, "device string, s bigint").withColumn("ts", F.timestamp_seconds("s"))
-    cut, is_cut = slice_hot_groups(df, "device", "ts", rows=100)
+    # a third of the hot rows carries one and the same time
+    data = [("hot", i, max(i, 300)) for i in range(900)] + [("cold", i, i) for i in range(30)]
+    df = spark.createDataFrame(data, "device string, id bigint, s bigint").withColumn("ts", F.timestamp_seconds("s"))
+    cut, is_cut = slice_hot_groups(df, "device", ["ts", "id"], rows=100)
     sizes = {(r["device"], r["slice"]): r["count"] for r in cut.groupBy("device", "slice").count().collect()}
+    hot = [n for (d, _), n in sizes.items() if d == "hot"]
     assert is_cut and sizes[("cold", 0)] == 30
-    assert len([k for k in sizes if k[0] == "hot"]) == 9 and max(sizes.values()) <= 101
-    assert slice_hot_groups(df, "device", "ts", rows=1000)[1] is False
+    assert len(hot) >= 8 and sum(hot) == 900 and max(hot) <= 250
+    numbered = number_rows(cut, ["ts", "id"], ["slice"], ["device"])
+    want = df.withColumn("w", F.row_number().over(Window.partitionBy("device").orderBy("ts", "id")))
+    assert numbered.join(want.select("device", "id", "w"), ["device", "id"]).filter("rn <> w").count() == 0
+    assert slice_hot_groups(df, "device", ["ts", "id"], rows=1000)[1] is False
 
 
 def test_no_row_level_single_partition(spark):
