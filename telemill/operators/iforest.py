@@ -51,13 +51,15 @@ def grow_forest(x: np.ndarray, rng: np.random.Generator, trees: int = TREES, sam
     for level in range(depth + 1):
         group = tree * nodes + node
         order = np.argsort(group, kind="stable")
-        ids, starts, counts = np.unique(group[order], return_index=True, return_counts=True)
+        ranked = group[order]
+        starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+        ids, counts = ranked[starts], np.diff(np.append(starts, len(ranked)))
         at_tree, at_node = ids // nodes, ids % nodes
         path[at_tree, at_node] = level + average_path(counts)
         if level == depth:
             break
-        low = np.minimum.reduceat(data[order], starts, axis=0)
-        high = np.maximum.reduceat(data[order], starts, axis=0)
+        tree, node, data = tree[order], node[order], data[order]
+        low, high = np.minimum.reduceat(data, starts, axis=0), np.maximum.reduceat(data, starts, axis=0)
         spread = high > low
         open_ = spread.any(axis=1) & (counts > 1)
         # a uniform choice among the features that still vary in the node
@@ -67,8 +69,7 @@ def grow_forest(x: np.ndarray, rng: np.random.Generator, trees: int = TREES, sam
         value = lo + rng.random(len(ids)) * (hi - lo)
         feature[at_tree[open_], at_node[open_]] = choice[open_]
         cut[at_tree[open_], at_node[open_]] = value[open_]
-        where = np.empty(len(group), dtype="int64")
-        where[order] = np.repeat(rows_at, counts)
+        where = np.repeat(rows_at, counts)
         keep = open_[where]
         tree, node, data, where = tree[keep], node[keep], data[keep], where[keep]
         if not len(node):

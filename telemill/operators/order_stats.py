@@ -110,15 +110,18 @@ def grouped_quantiles(df: DataFrame, keys: list[str], columns: list[str], probs:
                       rule: str = "nearer") -> DataFrame:
     """Exact linearly interpolated quantiles per group, and the number of values behind them.
 
-    Adds per column ``<column>_q``, an array along ``probs``, and ``<column>_n``. A
-    sketch of the distinct values per group decides for each column between
-    counting values and the refinement above, which never sorts a group in one
-    task. ``weight`` names a column of row multiplicities (counted columns only).
-    ``keys`` must not be null; a group without any value is left out.
+    Adds per column ``<column>_q``, an array along ``probs``, and ``<column>_n``. If a
+    group holds more than ``max_distinct`` rows, a sketch of its distinct values
+    decides for each column between counting values and the refinement above,
+    which never sorts a group in one task. ``weight`` names a column of row
+    multiplicities (counted columns only). ``keys`` must not be null; a group
+    without any value is left out.
     """
-    sketch = df.groupBy(*keys).agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns])
-    most = sketch.agg(*[F.max(c).alias(c) for c in columns]).first()
-    small = [c for c in columns if weight or (most[c] or 0) <= max_distinct]
+    small = columns
+    if not weight and (df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > max_distinct:
+        sketch = df.groupBy(*keys).agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns])
+        most = sketch.agg(*[F.max(c).alias(c) for c in columns]).first()
+        small = [c for c in columns if most[c] <= max_distinct]
     out = _counted(df, keys, small, probs, rule, weight) if small else None
     for c in columns:
         if c not in small:
@@ -135,25 +138,19 @@ def quantile_row(df: DataFrame, columns: list[str], probs: list[float],
     return {c: list(row[f"{c}_q"]) if row and row[f"{c}_q"] is not None else None for c in columns}
 
 
-def pick_ranks(df: DataFrame, value: str, wanted: dict, key: str | None = None) -> dict:
+def pick_ranks(df: DataFrame, value: str, wanted: dict, span: tuple, key: str | None = None) -> dict:
     """Values at 0-based ranks of a few groups: ``{(group, rank): (value, smaller values)}``.
 
     Like ``select_ranks`` for groups and ranks known on the driver, which sees
-    at most ``BUCKETS`` counts per group and one row per rank.
+    at most ``BUCKETS`` counts per group and one row per rank. ``span`` holds the
+    extremes of the column.
     """
     group = F.col(key) if key else F.lit(0)
     rows = df.select(group.alias("_g"), F.col(value).alias("_v")).filter(
         F.col("_v").isNotNull() & F.col("_g").isin(list(wanted)))
-    spans = {r["_g"]: (r["lo"], r["hi"]) for r in rows.groupBy("_g").agg(
-        F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()}
-    bucket = F.lit(None).cast("int")
-    for g, (lo, hi) in spans.items():
-        if hi > lo:
-            at = F.least(F.floor((F.col("_v") - F.lit(lo)) * F.lit(BUCKETS / (hi - lo))), F.lit(BUCKETS - 1))
-        else:
-            at = F.lit(0)
-        bucket = F.when(F.col("_g") == F.lit(g), at.cast("int")).otherwise(bucket)
-    bucketed = rows.withColumn("_b", bucket)
+    lo, hi = span
+    at = F.floor((F.col("_v") - F.lit(lo)) * F.lit(BUCKETS / (hi - lo))) if hi > lo else F.lit(0)
+    bucketed = rows.withColumn("_b", F.least(at, F.lit(BUCKETS - 1)).cast("int"))
     before: dict = {}
     hits = []
     for g, b, n in sorted(bucketed.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("n")).collect()):
@@ -187,17 +184,18 @@ def tile_cutoffs(df: DataFrame, value: str, tie: str, tiles: int) -> list[tuple]
     must tell rows of equal ``value`` apart. Values hold the ends first; the rows
     of those few values are then looked at along ``tie``.
     """
-    n = df.filter(F.col(value).isNotNull()).count()
+    n, lo, hi, first, last = df.filter(F.col(value).isNotNull()).agg(
+        F.count(F.lit(1)), F.min(value), F.max(value), F.min(tie), F.max(tie)).first()
     base, extra = divmod(n, tiles)
     ends = sorted({(i + 1) * base + min(i + 1, extra) - 1 for i in range(tiles - 1)})
     ends = [e for e in ends if 0 <= e < n - 1]
     if not ends:
         return []
-    at_value = pick_ranks(df, value, {0: ends})
+    at_value = pick_ranks(df, value, {0: ends}, (lo, hi))
     within: dict = {}
     for (_, rank), (v, below) in at_value.items():
         within.setdefault(v, []).append(rank - below)
-    return sorted((v, t) for (v, _), (t, _) in pick_ranks(df, tie, within, value).items())
+    return sorted((v, t) for (v, _), (t, _) in pick_ranks(df, tie, within, (first, last), value).items())
 
 
 def tile_of(value: Column, tie: Column, cutoffs: list[tuple]) -> Column:
