@@ -178,29 +178,37 @@ def pick_ranks(df: DataFrame, value: str, wanted: dict, span: tuple, key: str |
 
 
 def tile_cutoffs(df: DataFrame, value: str, tie: str, tiles: int) -> list[tuple]:
-    """Last (value, tie) of each tile but the final one, in the order (value, tie).
+    """Last (value, tie) of each tile but the final one, in the order (value, tie), nulls last.
 
     Tiles follow NTILE: sizes differ by at most one, larger tiles first. ``tie``
     must tell rows of equal ``value`` apart. Values hold the ends first; the rows
     of those few values are then looked at along ``tie``.
     """
-    n, lo, hi, first, last = df.filter(F.col(value).isNotNull()).agg(
-        F.count(F.lit(1)), F.min(value), F.max(value), F.min(tie), F.max(tie)).first()
+    n, known, lo, hi, first, last = df.agg(
+        F.count(F.lit(1)), F.count(value), F.min(value), F.max(value), F.min(tie), F.max(tie)).first()
     base, extra = divmod(n, tiles)
     ends = sorted({(i + 1) * base + min(i + 1, extra) - 1 for i in range(tiles - 1)})
     ends = [e for e in ends if 0 <= e < n - 1]
-    if not ends:
-        return []
-    at_value = pick_ranks(df, value, {0: ends}, (lo, hi))
-    within: dict = {}
-    for (_, rank), (v, below) in at_value.items():
-        within.setdefault(v, []).append(rank - below)
-    return sorted((v, t) for (v, _), (t, _) in pick_ranks(df, tie, within, (first, last), value).items())
+    among_values, among_nulls = [e for e in ends if e < known], [e - known for e in ends if e >= known]
+    cutoffs = []
+    if among_values:
+        within: dict = {}
+        for (_, rank), (v, below) in pick_ranks(df, value, {0: among_values}, (lo, hi)).items():
+            within.setdefault(v, []).append(rank - below)
+        cutoffs = sorted((v, t) for (v, _), (t, _) in pick_ranks(df, tie, within, (first, last), value).items())
+    if among_nulls:
+        blank = df.filter(F.col(value).isNull())
+        cutoffs += [(None, t) for t, _ in sorted(pick_ranks(blank, tie, {0: among_nulls}, (first, last)).values())]
+    return cutoffs
 
 
 def tile_of(value: Column, tie: Column, cutoffs: list[tuple]) -> Column:
     """1-based tile of a row: one more than the number of cutoffs before it."""
     tile = F.lit(1).cast("bigint")
     for v, t in cutoffs:
-        tile = tile + F.when((value > F.lit(v)) | ((value == F.lit(v)) & (tie > F.lit(t))), 1).otherwise(0)
+        if v is None:
+            after = value.isNull() & (tie > F.lit(t))
+        else:
+            after = value.isNull() | (value > F.lit(v)) | ((value == F.lit(v)) & (tie > F.lit(t)))
+        tile = tile + F.when(after, 1).otherwise(0)
     return tile.cast("bigint")

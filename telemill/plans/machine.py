@@ -103,7 +103,7 @@ def torque_deciles(machines: DataFrame, tiles: int = 10) -> DataFrame:
     The nine decile ends are selected exactly; the last pass compares each row
     with them and needs no sort.
     """
-    readings = machines.filter(F.col("torque_nm").isNotNull()).select("udi", "torque_nm", "machine_failure")
+    readings = machines.select("udi", "torque_nm", "machine_failure")
     ends = tile_cutoffs(readings, "torque_nm", "udi", tiles)
     return (
         readings.groupBy(tile_of(F.col("torque_nm"), F.col("udi"), ends).alias("torque_decile"))
