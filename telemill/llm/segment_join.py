@@ -132,7 +132,7 @@ def marks(occurring: DataFrame, kinds: DataFrame, masks: DataFrame, copy: Column
     """
     each = kinds.select("anchor", "seg", F.col("key").alias("first_key"), F.col("pos").alias("first_pos")).join(
         masks, ["anchor", "seg"], "left")
-    all_bits = F.expr("shiftleft(1L, cast(n as int)) - 1")
+    all_bits = F.expr("shiftrightunsigned(-1L, cast(64 - n as int))")
     mask = F.when(copy, all_bits).otherwise(F.coalesce("mask", F.lit(0)))
     gone = occurring.join(each, ["anchor", "seg"]).select("key", "pos", mask.alias("mask")).filter("mask != 0")
     return gone.groupBy("key").agg(F.collect_list(F.struct("pos", "mask")).alias("gone"))
