@@ -34,7 +34,7 @@ END_ID = 1
 #: Pieces of one length that are ranked together.
 BLOCK = 2048
 #: Bytes of text a task tokenizes at once.
-SLICE = 2 << 20
+SLICE = 4 << 20
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words whose ids a worker remembers; the memory is emptied when full, which changes no id.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 #: Words sent to the tokenizer in one call, and the token between them.
 JOINED = 500
 BETWEEN, BETWEEN_ID = "<|endoftext|>", 49407
