@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, minhash_dedup, packing, pii, substring_dedup, suffix_dedup, warc  # noqa: F401  each module registers its query
+from . import (  # noqa: F401  each module registers its query
+    decontamination, exact_dedup, language, minhash_dedup, packing, pii, substring_dedup, suffix_dedup, warc,
+)
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
