@@ -1,25 +1,55 @@
 """Corpus pipeline over documents: each stage is a step (spark, docs, sf_dir) -> DataFrame.
 
 A stage reads all its predecessor kept; what it returns is written as Parquet
-below the shared folder and read again as the next stage's documents.
+below the shared folder and read again as the next stage's documents. All
+stages but the last return the columns of documents unchanged.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telemill.llm import exact_dedup
+from telemill.llm import decontamination, exact_dedup, language, minhash_dedup, packing
 from telemill.llm.common import stored, table
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in some learned language; null texts and those without a letter go."""
+    names = ["_lang" + "_" * max(map(len, docs.columns)), "_score" + "_" * max(map(len, docs.columns))]
+    texts = language.sample(docs.filter(~language.held_out()))
+    return language.identify(docs, texts, lang_name=names[0], score_name=names[1]).filter(
+        F.col(names[0]) != language.UNKNOWN).drop(*names)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the smallest id stays."""
     return exact_dedup.filter(docs)
 
 
-STAGES = [("exact dedup", exact)]
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by 0.8 of their five-word shingles, the document with the smallest id stays."""
+    return minhash_dedup.filter(docs, words=5, percent=80)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passage, plain or re-parameterised."""
+    return decontamination.filter(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents that are left, with their sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("language id", with_language),
+    ("exact dedup", without_copies),
+    ("near dedup", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("packing", packed),
+]
 
-#: SQL cannot express the tokenizer, the models or the packing.
+#: SQL cannot express the automata, the signatures, the tokenizer or the packing.
 ORACLE_SQL = None
 
 

@@ -225,7 +225,7 @@ def _agreeing(pairs: DataFrame, posted: DataFrame, matches: int) -> DataFrame:
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 2, percent: int = 80,
            matches: int = MATCHES) -> DataFrame:
-    """key, id, n_shingles, component (a key), component_id, kept: one row per document."""
+    """key, id, mark (hash of the text), n_shingles, component (a key), component_id, kept: one row per document."""
     rows = keyed(docs, id_col, text_col)
     drawn = stored(sketches(rows, words), "sketches")
     marks = ["n_shingles", "mark1", "mark2"]
@@ -246,8 +246,9 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     whole = classes.join(found.withColumnRenamed("key", "class"), "class", "left").select(
         *marks, F.coalesce("component", "class").alias("component"))
     ids = rows.select("key", "id").distinct()
-    return rows.select("key", "id").join(drawn.drop("signature").distinct(), "key").join(whole, marks, "left").select(
-        "key", "id", "n_shingles", F.coalesce("component", "key").alias("component")).join(
+    return rows.select("key", "id", F.xxhash64("text").alias("mark")).join(
+        drawn.drop("signature").distinct(), "key").join(whole, marks, "left").select(
+        "key", "id", "mark", "n_shingles", F.coalesce("component", "key").alias("component")).join(
         ids.select(F.col("key").alias("component"), F.col("id").alias("component_id")), "component").withColumn(
         "kept", F.col("key") == F.col("component"))
 
@@ -256,8 +257,9 @@ def filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     """The rows of ``docs`` that stay, one document of each group, all columns as they are."""
     found = linked(docs, id_col, text_col, words, percent)
     # what goes, by id and text, as an id may stand for several texts
-    gone = found.filter("NOT kept").select(F.col("id").alias("_id")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]), "left_anti")
+    gone = found.filter("NOT kept").select("id", "mark").distinct()
+    text = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["id"]) & (text == gone["mark"]), "left_anti")
 
 
 @query("op8_minhash_dedup")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (  # noqa: F401  each module registers its query
-    decontamination, exact_dedup, language, minhash_dedup, packing, pii, substring_dedup, suffix_dedup, warc,
+    decontamination, exact_dedup, language, minhash_dedup, packing, pii, quality, substring_dedup, suffix_dedup, warc,
 )
 from .common import ORACLES, QUERIES
 
