@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .numeric import rnd_even
+from .numeric import known, rnd_even
 
 # Class limits and labels every result depends on.
 SIGNAL_CLASSES = [(-60, "Excellent"), (-70, "Good"), (-80, "Fair")]
@@ -19,8 +19,8 @@ WEAR_STAGES = [(80, "early"), (170, "mid"), (253, "late")]
 
 
 def _at_least(x: Column, classes: list[tuple[float, str]], floor: str) -> Column:
-    """First class whose limit the value reaches; null values get the floor."""
-    return F.coalesce(*[F.when(x >= limit, F.lit(label)) for limit, label in classes], F.lit(floor))
+    """First class whose limit the value reaches; missing values (null or NaN) get the floor."""
+    return F.coalesce(*[F.when(known(x) >= limit, F.lit(label)) for limit, label in classes], F.lit(floor))
 
 
 def signal_quality(dbm: Column) -> Column:

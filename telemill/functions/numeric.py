@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# Sums of readings are kept in ten-thousandths as BIGINT: readings carry at
-# most four decimals, so the sum is exact whatever order rows arrive in.
-UNITS = 10_000
+# Sums of readings are kept as decimals: the same digits in whatever order rows
+# arrive, no overflow at any count of rows, and nothing cut off above 1e-12.
+EXACT = "decimal(38, 12)"
 
 
 def _col(x: Column | str) -> Column:
@@ -29,22 +29,30 @@ def rnd_even(x: Column | str, digits: int = 0) -> Column:
     return F.bround(_col(x) * scale) / scale
 
 
-def units(x: Column | str) -> Column:
-    return F.round(_col(x) * F.lit(float(UNITS))).cast("bigint")
+def known(x: Column | str) -> Column:
+    """The value, or null where it is NaN or infinite: one rule for missing numbers."""
+    return F.when(F.abs(_col(x).cast("double")) < F.lit(float("inf")), _col(x))
 
 
-def unit_sum(x: Column | str) -> Column:
-    """Exact partial sum in ten-thousandths, to be combined with ``mean_of``."""
-    return F.sum(units(x))
+def known_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``known`` on those of the columns that are floating point."""
+    kinds = dict(df.dtypes)
+    floating = [c for c in columns if kinds.get(c) in ("double", "float")]
+    return df.withColumns({c: known(c) for c in floating}) if floating else df
 
 
-def mean_of(total_units: Column | str, n: Column | str) -> Column:
+def exact_sum(x: Column | str) -> Column:
+    """Exact partial sum, to be combined with ``mean_of``; NaN counts as missing."""
+    return F.sum(known(x).cast(EXACT))
+
+
+def mean_of(total: Column | str, n: Column | str) -> Column:
     """Mean from an exact sum and a non-null count; null on an empty group."""
-    return _col(total_units).cast("double") / F.nullif(_col(n) * F.lit(UNITS), F.lit(0)).cast("double")
+    return _col(total).cast("double") / F.nullif(_col(n), F.lit(0)).cast("double")
 
 
 def mean(x: Column | str) -> Column:
-    return mean_of(unit_sum(x), F.count(_col(x)))
+    return mean_of(exact_sum(x), F.count(known(x)))
 
 
 def pct(part: Column | str, whole: Column | str) -> Column:

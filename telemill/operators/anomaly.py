@@ -6,11 +6,12 @@ its own columns added; further detectors can join the consensus the same way.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numeric import count_true, mean, pct, rnd, rnd_even
+from ..functions.numeric import count_true, known_numbers, mean, pct, rnd, rnd_even
 from .iforest import isolation_scores
 from .joins import attach
 from .order_stats import grouped_quantiles
@@ -32,11 +33,15 @@ METHODS = {"zscore": "Z-score", "iqr": "IQR", "iforest": "Isolation Forest"}
 
 
 def validate_features(df: DataFrame, key: str = KEY, features: list[str] = list(FEATURES)) -> None:
-    missing = [f for f in features if f not in df.columns]
-    if missing:
-        raise ValueError(f"Missing columns: {missing}")
-    if key not in df.columns:
-        raise ValueError(f"Missing key column: {key}")
+    absent = [c for c in (key, *features) if c not in df.columns]
+    if absent:
+        raise ValueError(f"a detector needs the columns {', '.join(absent)}")
+
+
+def _readings(df: DataFrame, key: str, features: list[str]) -> DataFrame:
+    """Rows with a key; a feature that is NaN is missing, as null is."""
+    validate_features(df, key, features)
+    return known_numbers(df.filter(F.col(key).isNotNull()), features)
 
 
 def _first_label(hits: dict[str, Column]) -> Column:
@@ -49,8 +54,7 @@ def zscore(df: DataFrame, key: str = KEY, features: list[str] = list(FEATURES),
 
     A feature with fewer than ten values counts 0; a constant feature counts for nothing.
     """
-    validate_features(df, key, features)
-    df = df.filter(F.col(key).isNotNull())
+    df = _readings(df, key, features)
     stats = df.groupBy(key).agg(*[
         x for f in features for x in (
             F.avg(f).alias(f"_{f}_m"), F.stddev_pop(f).alias(f"_{f}_s"), F.count(f).alias(f"_{f}_n"))])
@@ -71,8 +75,7 @@ def zscore(df: DataFrame, key: str = KEY, features: list[str] = list(FEATURES),
 
 def iqr(df: DataFrame, key: str = KEY, features: list[str] = list(FEATURES), fence: float = FENCE) -> DataFrame:
     """Outside the device's own quartile fences in any feature; keeps the fences per feature."""
-    validate_features(df, key, features)
-    df = df.filter(F.col(key).isNotNull())
+    df = _readings(df, key, features)
     fences = grouped_quantiles(df, [key], features, [0.25, 0.75])
     for f in features:
         q1, q3 = F.col(f"{f}_q")[0], F.col(f"{f}_q")[1]
@@ -93,8 +96,7 @@ def iqr(df: DataFrame, key: str = KEY, features: list[str] = list(FEATURES), fen
 def isolation_forest(df: DataFrame, key: str = KEY, features: list[str] = list(FEATURES), row_id: str = "id",
                      contamination: float = CONTAMINATION, **options) -> DataFrame:
     """Multivariate detector: rows above the device's own (1 - contamination) score quantile."""
-    validate_features(df, key, features)
-    scored = isolation_scores(df.filter(F.col(key).isNotNull()), key, row_id, features, **options)
+    scored = isolation_scores(_readings(df, key, features), key, row_id, features, **options)
     limits = iforest_limits(scored, key, contamination)
     rows = attach(scored, limits, [key])
     flag = F.coalesce(F.col("iforest_score") > F.col("iforest_limit"), F.lit(False))
@@ -111,12 +113,21 @@ def consensus(df: DataFrame, methods: list[str] = list(METHODS), needed: int = C
     return df.withColumn("method_count", count).withColumn("consensus_anomaly", F.col("method_count") >= needed)
 
 
-def detect(df: DataFrame, methods: tuple[str, ...] = tuple(METHODS), **options) -> DataFrame:
-    """Run detectors one after another on the same rows; no row-level join is needed."""
-    steps = {"zscore": zscore, "iqr": iqr}
-    for method in methods:
-        df = isolation_forest(df, **options) if method == "iforest" else steps[method](df)
-    return consensus(df, list(methods))
+Detector = Callable[[DataFrame], DataFrame]
+
+
+def detect(df: DataFrame, methods: tuple[str, ...] | Mapping[str, Detector] = tuple(METHODS),
+           needed: int = CONSENSUS_METHODS, **options) -> DataFrame:
+    """Run detectors one after another on the same rows; no row-level join is needed.
+
+    ``methods`` are names of the detectors here, or a mapping of names to own
+    ones: each takes the readings and adds a boolean column ``<name>_anomaly``.
+    """
+    built_in = {"zscore": zscore, "iqr": iqr, "iforest": lambda rows: isolation_forest(rows, **options)}
+    steps = methods if isinstance(methods, Mapping) else {m: built_in[m] for m in methods}
+    for step in steps.values():
+        df = step(df)
+    return consensus(df, list(steps), needed)
 
 
 def summarise(df: DataFrame, methods: list[str] = list(METHODS)) -> DataFrame:

@@ -10,11 +10,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from ..functions.numeric import known_numbers
 from ..session import checkpointed
 
 TREES = 100
 SAMPLE = 256
-POOL = 4096
+# Rows that all trees of a device draw together: every tree can have its own.
+POOL = TREES * SAMPLE
 SEED = 42
 MIN_ROWS = 20
 ROWS_PER_TASK = 100_000
@@ -164,11 +166,12 @@ def isolation_scores(df: DataFrame, key: str, row_id: str, features: list[str],
 
     Groups with fewer than 20 complete rows score 0; rows with a null feature in
     other groups score null. A uniform sample of at most ``pool`` rows per group,
-    the smallest row hashes, feeds the trees. Groups of up to ``rows_per_task``
+    the smallest row hashes, feeds the trees: as many rows as all trees draw. Groups of up to ``rows_per_task``
     rows are trained and scored in one go. Larger ones are trained on their
     sample alone and scored in salted parts, each with a copy of the model; both
     ways give the same scores.
     """
+    df = known_numbers(df, features)  # one rule for both ways: a null or NaN feature makes a row incomplete
     whole = F.lit(True)
     for f in features:
         whole = whole & F.col(f).isNotNull()

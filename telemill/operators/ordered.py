@@ -166,22 +166,21 @@ def rank_desc(df: DataFrame, value: str, out: str, keys: list[str] | None = None
               rows: int = ROWS_PER_SLICE) -> DataFrame:
     """RANK by descending ``value`` (nulls last) over a table of any size.
 
-    Up to ``rows`` rows one window does. Beyond that rows are sliced by value,
-    ranked inside their slice, and moved down by the rows of higher slices;
-    equal values always share a slice.
+    Rows are counted per value first, so equal values, however many, are one
+    row of the ranking; the counts of higher values are summed and joined back.
+    Beyond ``rows`` different values the summing is cut into slices.
     """
     keys = keys or []
     highest = F.desc_nulls_last(value)
-    df = checkpointed(df)
-    if df.count() <= rows:
-        return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(highest)).cast("bigint"))
-    sliced = slice_by_range(df, value, rows)
-    by = [*keys, "slice"]
-    totals = sliced.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = _totals_before(totals, keys, [F.desc("slice")], "_rows", "_before").drop("_rows")
-    local = sliced.withColumn("_local", F.rank().over(Window.partitionBy(*by).orderBy(highest)))
-    return (
-        local.join(offsets, by)
-        .withColumn(out, (F.col("_local") + F.col("_before")).cast("bigint"))
-        .drop("_local", "_before", "slice")
-    )
+    counts = checkpointed(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
+    if counts.count() <= rows:
+        upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(highest).rowsBetween(Window.unboundedPreceding, 0))
+        ranked = counts.withColumn("_upto", upto)
+    else:
+        ranked = number_rows(slice_by_range(counts, value, rows), [highest], ["slice"], keys, [F.desc("slice")], "_n", "_upto")
+    ranked = ranked.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(value).alias("_value"),
+                           (F.col("_upto") - F.col("_n") + 1).cast("bigint").alias(out))
+    same = F.col(value).eqNullSafe(F.col("_value"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return df.join(ranked, same).drop("_value", *[f"_{k}" for k in keys])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.numeric import count_true, mean, mean_of, pct, rnd, unit_sum
+from ..functions.numeric import count_true, mean, mean_of, pct, rnd, exact_sum
 from ..operators.ordered import ROWS_PER_SLICE, number_rows, rank_desc, slice_hot_groups, with_halo
 
 # Reliability scoring and spike limits.
@@ -26,8 +26,8 @@ def device_metrics(telemetry: DataFrame) -> DataFrame:
     """One row per device, type and location; everything later joins these few rows."""
     return telemetry.groupBy("device_id", "device_type", "location").agg(
         F.count(F.lit(1)).alias("n"),
-        unit_sum("cpu_pct").alias("cpu_units"), F.count("cpu_pct").alias("cpu_n"), F.max("cpu_pct").alias("cpu_max"),
-        unit_sum("temperature_c").alias("temp_units"), F.count("temperature_c").alias("temp_n"),
+        exact_sum("cpu_pct").alias("cpu_total"), F.count("cpu_pct").alias("cpu_n"), F.max("cpu_pct").alias("cpu_max"),
+        exact_sum("temperature_c").alias("temp_total"), F.count("temperature_c").alias("temp_n"),
         F.max("temperature_c").alias("temp_max"),
         F.sum(F.col("signal_dbm").cast("bigint")).alias("signal_sum"), F.count("signal_dbm").alias("signal_n"),
         count_true("is_anomaly").alias("anomalies"),
@@ -44,19 +44,19 @@ def fleet_health(telemetry: DataFrame, status: DataFrame) -> DataFrame:
     devices = _with_status(device_metrics(telemetry), status.withColumn("online", online), "online")
     per_device = devices.groupBy("device_id").agg(
         F.max("online").alias("online"),
-        *[F.sum(c).alias(c) for c in ("n", "cpu_units", "cpu_n", "temp_units", "temp_n", "anomalies")],
+        *[F.sum(c).alias(c) for c in ("n", "cpu_total", "cpu_n", "temp_total", "temp_n", "anomalies")],
         F.max("temp_max").alias("temp_max"))
     fleet = per_device.agg(
         F.count("device_id").alias("total_devices"),
         count_true((F.col("online") == 1) & F.col("device_id").isNotNull()).alias("online_devices"),
         count_true((F.col("online") == 0) & F.col("device_id").isNotNull()).alias("offline_devices"),
-        *[F.sum(c).alias(c) for c in ("n", "cpu_units", "cpu_n", "temp_units", "temp_n", "anomalies")],
+        *[F.sum(c).alias(c) for c in ("n", "cpu_total", "cpu_n", "temp_total", "temp_n", "anomalies")],
         F.max("temp_max").alias("temp_max"))
     return fleet.select(
         "total_devices", "online_devices", "offline_devices",
         rnd(pct("online_devices", "total_devices"), 1).alias("fleet_uptime_pct"),
-        rnd(mean_of("cpu_units", "cpu_n"), 1).alias("avg_cpu_pct"),
-        rnd(mean_of("temp_units", "temp_n"), 1).alias("avg_temp_c"),
+        rnd(mean_of("cpu_total", "cpu_n"), 1).alias("avg_cpu_pct"),
+        rnd(mean_of("temp_total", "temp_n"), 1).alias("avg_temp_c"),
         rnd("temp_max", 1).alias("max_temp_c"),
         F.col("anomalies").alias("total_anomalies"),
         rnd(pct("anomalies", "n"), 2).alias("anomaly_rate_pct"))
@@ -68,9 +68,9 @@ def device_summary(telemetry: DataFrame, status: DataFrame) -> DataFrame:
     return devices.select(
         "device_id", "device_type", "location", "connection_status",
         F.col("n").alias("reading_count"),
-        rnd(mean_of("cpu_units", "cpu_n"), 1).alias("avg_cpu_pct"),
+        rnd(mean_of("cpu_total", "cpu_n"), 1).alias("avg_cpu_pct"),
         rnd("cpu_max", 1).alias("max_cpu_pct"),
-        rnd(mean_of("temp_units", "temp_n"), 1).alias("avg_temp_c"),
+        rnd(mean_of("temp_total", "temp_n"), 1).alias("avg_temp_c"),
         rnd("temp_max", 1).alias("max_temp_c"),
         rnd(F.col("signal_sum").cast("double") / F.col("signal_n").cast("double"), 0).alias("avg_signal_dbm"),
         F.col("anomalies").alias("anomaly_count"),
@@ -147,7 +147,7 @@ def running_counts(telemetry: DataFrame, rows: int = ROWS_PER_SLICE) -> DataFram
     recent = order.rowsBetween(-(ROLLING_ROWS - 1), 0)
     # Up to five exact unit values per frame: the sum does not depend on what left the frame.
     readings = readings.withColumn("rolling_avg_cpu_5", rnd(
-        mean_of(unit_sum("cpu_pct").over(recent), F.count("cpu_pct").over(recent)), 1))
+        mean_of(exact_sum("cpu_pct").over(recent), F.count("cpu_pct").over(recent)), 1))
     if is_cut:
         numbered = readings.filter(~F.col("halo")).withColumns(
             {"reading_number": F.col("rn"), "cumulative_readings": F.col("rn")})
@@ -200,8 +200,8 @@ def reliability(telemetry: DataFrame, status: DataFrame) -> DataFrame:
     devices = _with_status(device_metrics(telemetry), status, "connection_status", "reconnect_count", "queue_depth")
     metrics = devices.select(
         "device_id", "device_type", "location", "connection_status",
-        rnd(mean_of("cpu_units", "cpu_n"), 1).alias("avg_cpu"), rnd("cpu_max", 1).alias("max_cpu"),
-        rnd(mean_of("temp_units", "temp_n"), 1).alias("avg_temp"),
+        rnd(mean_of("cpu_total", "cpu_n"), 1).alias("avg_cpu"), rnd("cpu_max", 1).alias("max_cpu"),
+        rnd(mean_of("temp_total", "temp_n"), 1).alias("avg_temp"),
         F.col("anomalies").alias("anomaly_count"), "reconnect_count", "queue_depth")
     return score_devices(metrics).select(
         *metrics.columns, "health_score", "reliability_tier", "health_rank").orderBy("health_rank", "device_id")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.derive import HIGH_TEMP_LIMIT, POOR_SIGNAL_LIMIT
 from ..functions.histogram import histogram
-from ..functions.numeric import count_true, mean, mean_of, rnd, rnd_even, unit_sum
+from ..functions.numeric import count_true, mean, mean_of, rnd, rnd_even, exact_sum
 from ..operators.joins import sized
 from ..operators.order_stats import grouped_quantiles
 
@@ -27,9 +27,9 @@ def device_kpis(telemetry: DataFrame, snapshots: DataFrame) -> DataFrame:
     telemetry = telemetry.filter(F.col("device_id").isNotNull())
     # by type and place first: their latest values then come from a few rows, and the scan stays a hash aggregate
     places = telemetry.groupBy("device_id", "device_type", "location").agg(
-        unit_sum("cpu_pct").alias("cpu"), F.count("cpu_pct").alias("cpu_n"), F.max("cpu_pct").alias("cpu_max"),
-        unit_sum("ram_pct").alias("ram"), F.count("ram_pct").alias("ram_n"),
-        unit_sum("temperature_c").alias("temp"), F.count("temperature_c").alias("temp_n"),
+        exact_sum("cpu_pct").alias("cpu"), F.count("cpu_pct").alias("cpu_n"), F.max("cpu_pct").alias("cpu_max"),
+        exact_sum("ram_pct").alias("ram"), F.count("ram_pct").alias("ram_n"),
+        exact_sum("temperature_c").alias("temp"), F.count("temperature_c").alias("temp_n"),
         F.max("temperature_c").alias("temp_max"),
         F.sum(F.col("signal_dbm").cast("bigint")).alias("signal"), F.count("signal_dbm").alias("signal_n"),
         count_true("is_anomaly").alias("anomalies"), F.max("timestamp").alias("last_ts"))
@@ -54,8 +54,8 @@ def device_kpis(telemetry: DataFrame, snapshots: DataFrame) -> DataFrame:
 
 def fleet_summary(telemetry: DataFrame, snapshots: DataFrame) -> DataFrame:
     devices = telemetry.groupBy("device_id").agg(
-        unit_sum("cpu_pct").alias("cpu"), F.count("cpu_pct").alias("cpu_n"), F.max("cpu_pct").alias("cpu_max"),
-        unit_sum("temperature_c").alias("temp"), F.count("temperature_c").alias("temp_n"),
+        exact_sum("cpu_pct").alias("cpu"), F.count("cpu_pct").alias("cpu_n"), F.max("cpu_pct").alias("cpu_max"),
+        exact_sum("temperature_c").alias("temp"), F.count("temperature_c").alias("temp_n"),
         count_true(F.col("temperature_c") > HIGH_TEMP_LIMIT).alias("hot"),
         F.sum(F.col("signal_dbm").cast("bigint")).alias("signal"), F.count("signal_dbm").alias("signal_n"),
         count_true(F.col("signal_dbm") < POOR_SIGNAL_LIMIT).alias("weak"), count_true("is_anomaly").alias("anomalies"))

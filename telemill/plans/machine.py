@@ -124,14 +124,22 @@ def risk_score() -> Column:
 
 
 def risk_ranking(machines: DataFrame, ranks: int = RISK_RANKS) -> DataFrame:
-    """Rank filter right on the window, which Spark turns into a per-task top-k first."""
+    """Ranks from the counts of the highest scores, so that equal scores, however many, stay spread.
+
+    A rank of at most ``ranks`` needs no more than the ``ranks`` highest
+    different scores; rows are then compared with that short list.
+    """
     advice = F.coalesce(*[F.when(F.col("risk_score") >= limit, F.lit(text)) for limit, text in RISK_ADVICE],
                         F.lit(NO_ADVICE))
+    scored = machines.filter(~F.col("machine_failure")).withColumn("risk_score", risk_score())
+    highest = scored.groupBy(F.col("risk_score").alias("score")).agg(F.count(F.lit(1)).alias("n")).orderBy(
+        F.desc_nulls_last("score")).limit(ranks)
+    above = Window.orderBy(F.desc_nulls_last("score")).rowsBetween(Window.unboundedPreceding, -1)
+    places = highest.select("score", (F.coalesce(F.sum("n").over(above), F.lit(0)) + 1).alias("risk_rank")).filter(
+        F.col("risk_rank") <= ranks)
     return (
-        machines.filter(~F.col("machine_failure")).withColumn("risk_score", risk_score())
-        .select("udi", "product_id", "machine_type", "tool_wear_min", "torque_nm", "power_w", "temp_diff_k", "risk_score")
-        .withColumn("risk_rank", F.rank().over(Window.orderBy(F.desc_nulls_last("risk_score"))))
-        .filter(F.col("risk_rank") <= ranks)
+        scored.select("udi", "product_id", "machine_type", "tool_wear_min", "torque_nm", "power_w", "temp_diff_k", "risk_score")
+        .join(F.broadcast(places), F.col("risk_score").eqNullSafe(F.col("score")))  # at most ``ranks`` rows
         .select(F.col("risk_rank").cast("bigint").alias("risk_rank"), "udi", "product_id", "machine_type", "tool_wear_min",
                 rnd("torque_nm", 1).alias("torque_nm"), rnd("power_w", 0).alias("power_w"),
                 rnd("temp_diff_k", 1).alias("temp_diff_k"), "risk_score", advice.alias("recommendation"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from ..sources import bindings as B
+from ..sources.csv_tables import SUMMARY_NAMES
 
 _COPIES = "(SELECT x.* FROM {t} x JOIN (SELECT 0 AS c UNION ALL SELECT 1 AS c) d ON d.c = 0 OR {again}) y"
 
@@ -14,8 +17,8 @@ _STAGE = """CASE WHEN tool_wear_min BETWEEN 0 AND 80 THEN 'early' WHEN tool_wear
 
 
 def avg(x: str) -> str:
-    """Mean over exact ten-thousandths."""
-    return f"(CAST(SUM(CAST(round({x} * 10000) AS BIGINT)) AS DOUBLE) / CAST(COUNT({x}) * 10000 AS DOUBLE))"
+    """Mean with compensated summation, NaN left out."""
+    return f"favg({x}) FILTER (WHERE NOT isnan(CAST({x} AS DOUBLE)))"
 
 
 def iavg(x: str) -> str:
@@ -73,6 +76,8 @@ VIEWS: dict[str, tuple[list[str], str]] = {
       WHEN NOT ok THEN 'parse_error' WHEN kind NOT IN ('telemetry', 'status', 'events') THEN 'ignored_kind'
       WHEN kind = 'telemetry' AND (j->>'$.cpu_percent' IS NULL OR j->>'$.ram_percent' IS NULL
         OR j->>'$.temperature_c' IS NULL OR j->>'$.signal_dbm' IS NULL OR j->>'$.uptime_s' IS NULL) THEN 'parse_error'
+      WHEN kind = 'status' AND j->>'$.publish_count' IS NOT NULL AND TRY_CAST(j->>'$.publish_count' AS BIGINT) IS NULL
+        THEN 'parse_error'
       ELSE 'written' END AS outcome FROM parsed"""),
     "tpoints": (["outcome"], """SELECT device_id, COALESCE(j->>'$.device_type', 'unknown') AS device_type,
       COALESCE(j->>'$.location', 'unknown') AS location,
@@ -266,7 +271,7 @@ SELECT location, COUNT(DISTINCT device_id) AS device_count,
 ORACLES["q1_7_running"] = over("tel", """
 SELECT device_id, device_type, timestamp, cpu_pct, ROW_NUMBER() OVER w AS reading_number,
  CAST(SUM(1) OVER (PARTITION BY device_id ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_readings,
- ROUND(CAST(SUM(CAST(round(cpu_pct * 10000) AS BIGINT)) OVER f AS DOUBLE) / CAST(COUNT(cpu_pct) OVER f * 10000 AS DOUBLE), 1) AS rolling_avg_cpu_5
+ ROUND(ROUND(AVG(cpu_pct) OVER f, 9), 1) AS rolling_avg_cpu_5
 FROM tel WINDOW w AS (PARTITION BY device_id ORDER BY timestamp),
  f AS (PARTITION BY device_id ORDER BY timestamp ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) ORDER BY device_id, timestamp""")
 
@@ -371,20 +376,22 @@ ORACLES["dedup_messages"] = over("tpoints", "SELECT DISTINCT * FROM tpoints")
 ORACLES["write_points"] = ORACLES["dedup_messages"]
 ORACLES["stream_dedup"] = ORACLES["dedup_messages"]
 ORACLES["stream_ingest"] = over("spoints", "SELECT DISTINCT * FROM spoints")
-ORACLES["ingest_messages"] = over("msg outcome", """
+ORACLES["ingest_messages"] = over("outcome", """
 SELECT CASE WHEN outcome = 'parse_error' THEN 'dead_letter' ELSE kind END AS sink, COUNT(*) AS points
-FROM outcome WHERE outcome IN ('written', 'parse_error') AND (kind = 'telemetry' OR kind NOT IN ('status', 'events')) GROUP BY 1""")
+FROM outcome WHERE outcome IN ('written', 'parse_error') GROUP BY 1""")
 ORACLES["stream_derive"] = over("tpoints", f"""
 SELECT device_id, time AS timestamp, CAST(hour(time) AS BIGINT) AS hour, dayname(time) AS weekday, anomaly = 'True' AS is_anomaly,
  {_QUALITY.format(x='signal_dbm')} AS signal_quality, {_TEMP.format(x='temperature_c')} AS temp_status,
  {_CPU.format(x='cpu_percent')} AS cpu_status FROM tpoints""")
-ORACLES["stream_latest_status"] = over("sta", """
-SELECT device_id, device_type, location, CAST(queue_depth AS BIGINT) AS queue_depth,
- CAST(reconnect_count AS BIGINT) AS reconnect_count, uptime_hours, connection_status FROM sta""")
+ORACLES["stream_latest_status"] = over("spoints", """
+SELECT device_id, device_type, location, queue_depth, reconnect_count,
+ round_even(uptime_s / CAST(3600 AS DOUBLE), 2) AS uptime_hours,
+ CASE WHEN is_connected = 1 THEN 'Online' ELSE 'Offline' END AS connection_status
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY device_id ORDER BY time DESC) AS nth FROM spoints) s WHERE nth = 1""")
 ORACLES["stream_hourly"] = over("tpoints", f"""
 SELECT date_trunc('hour', time) AS hour_start, COUNT(*) AS reading_count, ROUND({avg('cpu_percent')}, 1) AS avg_cpu_pct,
  ROUND({avg('temperature_c')}, 1) AS avg_temp_c, ROUND(MAX(cpu_percent), 1) AS peak_cpu_pct, {cnt("anomaly = 'True'")} AS anomaly_count
-FROM tpoints GROUP BY 1 HAVING date_trunc('hour', time) + INTERVAL 1 HOUR <= (SELECT MAX(time) FROM tpoints) - INTERVAL 10 MINUTE""")
+FROM tpoints GROUP BY 1""")
 _BASE = "id, timestamp, device_id, device_type, location, cpu_pct, ram_pct, temperature_c, signal_dbm, uptime_s, is_anomaly"
 ORACLES["range_scan"] = over("tel", f"""
 SELECT {_BASE} FROM tel WHERE timestamp >= (SELECT MAX(timestamp) FROM tel) - INTERVAL 6 HOUR""")
@@ -451,6 +458,16 @@ LEFT JOIN (SELECT device_id, MAX(reconnect_count) AS reconnect_count FROM snap G
 ORACLES["device_kpis"] = over("tel snap", _KPIS)
 ORACLES["summary_join_latest"] = over("tel snap", f"SELECT device_id, avg_cpu_pct, device_type, location FROM ({_KPIS}) k")
 ORACLES["summary_join_reconnect"] = over("tel snap", f"SELECT device_id, max_cpu_pct, reconnect_count FROM ({_KPIS}) k")
+_RANGE = "timestamp >= (SELECT MAX(timestamp) FROM tel) - INTERVAL 6 HOUR"
+_RECENT = over("tel snap", "SELECT 1").removesuffix("SELECT 1").rstrip() + f""",
+ rtel AS (SELECT * FROM tel WHERE {_RANGE}), rsnap AS (SELECT * FROM snap WHERE {_RANGE})
+"""
+_RECENT_KPIS = re.sub(r"\bsnap\b", "rsnap", re.sub(r"\btel\b", "rtel", _KPIS))
+ORACLES["export_summary"] = _RECENT + "SELECT " + ", ".join(
+    f'{c} AS "{n}"' for c, n in SUMMARY_NAMES.items()) + f" FROM ({_RECENT_KPIS}) k"
+ORACLES["export_roundtrip"] = _RECENT + f"""SELECT device_id, COUNT(*) AS reading_count, {cnt('is_anomaly')} AS anomaly_count,
+ MAX(cpu_pct) AS max_cpu_pct, MAX(timestamp) AS last_reading, (SELECT COUNT(*) FROM rsnap s WHERE s.device_id = r.device_id) AS snapshots
+FROM rtel r GROUP BY device_id"""
 ORACLES["scalar_subquery"] = over("tel", f"""
 SELECT device_id, ROUND(m, 2) AS avg_cpu_pct, ROUND(m - f, 2) AS above_fleet_avg
 FROM (SELECT device_id, {avg('cpu_pct')} AS m FROM tel GROUP BY device_id) d, (SELECT {avg('cpu_pct')} AS f FROM tel) g WHERE m > f""")
@@ -588,7 +605,7 @@ ORACLES["signal_histogram"] = over_hist("tel", "SELECT CAST(signal_dbm AS DOUBLE
 ORACLES["anomalies_by_location"] = over("tel", "SELECT location, COUNT(*) AS anomaly_count FROM tel WHERE is_anomaly GROUP BY location")
 ORACLES["queue_trend"] = over("snap", "SELECT timestamp, CAST(MAX(queue_depth) AS BIGINT) AS max_queue_depth FROM snap GROUP BY timestamp")
 ORACLES["ram_pivot"] = over("tel", "SELECT location, " + ", ".join(
-    f"round_even(SUM(CAST(round(ram_pct * 10000) AS BIGINT)) FILTER (WHERE device_type = '{t}') / CAST(COUNT(*) FILTER (WHERE device_type = '{t}') * 10000 AS DOUBLE), 1) AS {t}"
+    f"round_even(favg(ram_pct) FILTER (WHERE device_type = '{t}'), 1) AS {t}"
     for t in ("camera", "controller", "gateway", "sensor")) + " FROM tel GROUP BY location")
 ORACLES["temp_trend"] = over("tel", """
 SELECT device_id, timestamp, temperature_c FROM tel WHERE device_id IN (SELECT DISTINCT device_id FROM tel ORDER BY device_id LIMIT 5)""")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import derive
 from ..functions.histogram import histogram
-from ..functions.numeric import mean, rnd
+from ..functions.numeric import count_true, mean, rnd
 from ..operators import anomaly, cleaning
 from ..operators.ordered import range_of
 from ..session import apply_conf, new_folder
@@ -164,6 +164,29 @@ _over("bi_rename", B.telemetry_base, job=export.export_telemetry)
 _over("export_status", B.status_snapshots, job=lambda s: export.export_status(s.drop("user_id")))
 _over("export_events", B.fleet_events, job=export.export_events)
 
+
+
+def _export_inputs(spark, sf_dir):
+    return B.telemetry_base(spark, sf_dir), B.status_snapshots(spark, sf_dir).drop("user_id"), B.fleet_events(spark, sf_dir)
+
+
+@query("export_summary")
+def export_summary(spark, sf_dir):
+    """The summary table of the export: devices of the same range as its other tables."""
+    return export.export_tables(*_export_inputs(spark, sf_dir))["summary"]
+
+
+@query("export_roundtrip")
+def export_roundtrip(spark, sf_dir):
+    """The export written as files and loaded again: readings and snapshots per device."""
+    paths = export.write_export(new_folder(spark, "export"), *_export_inputs(spark, sf_dir))
+    readings = C.load_telemetry_csv(spark, paths["telemetry"]).groupBy("device_id").agg(
+        F.count(F.lit(1)).alias("reading_count"), count_true("is_anomaly").alias("anomaly_count"),
+        F.max("cpu_pct").alias("max_cpu_pct"), F.max("timestamp").alias("last_reading"))
+    snapshots = C.load_snapshots_csv(spark, paths["status"]).groupBy("device_id").agg(F.count(F.lit(1)).alias("snapshots"))
+    return readings.join(snapshots, "device_id", "left").fillna(0, ["snapshots"])
+
+
 # Derived columns
 
 _over("time_parts", B.telemetry_base, job=lambda t: derive.time_parts(t.select("id", "timestamp")))
@@ -254,6 +277,11 @@ _over("anomaly_report", B.telemetry_base, job=lambda t: anomaly.report(anomaly.d
 _over("top_consensus", B.telemetry_base, job=lambda t: anomaly.top_consensus(anomaly.detect(t)))
 _over("iforest_threshold", B.telemetry_base, job=lambda t: anomaly.iforest_threshold(anomaly.detect(t)))
 _over("anomaly_summary_three", B.telemetry_base, job=lambda t: anomaly.summarise(anomaly.detect(t)))
+_over("consensus_by_type_three", B.telemetry_base,
+      job=lambda t: anomaly.consensus_by_type(anomaly.summarise(anomaly.detect(t))))
+_over("method_agreement_three", B.telemetry_base,
+      job=lambda t: anomaly.method_agreement(anomaly.summarise(anomaly.detect(t))))
+_over("top_device_series_three", B.telemetry_base, job=lambda t: anomaly.top_device_series(anomaly.detect(t)))
 _over("method_rates_three", B.telemetry_base, job=lambda t: anomaly.method_rates(anomaly.summarise(anomaly.detect(t))))
 
 
@@ -383,8 +411,8 @@ def _message_stream(spark: SparkSession, sf_dir: str, binding=B.messages_from) -
 
 @query("ingest_messages")
 def ingest_messages(spark, sf_dir):
-    """All point counts after streaming ingest, by sink."""
-    folder = S.run_on_tables(spark, _message_stream(spark, sf_dir), S.ingest, "ingest")
+    """All point counts after streaming ingest of every kind of message, by sink."""
+    folder = S.run_on_tables(spark, _message_stream(spark, sf_dir, B.all_messages_from), S.ingest, "ingest")
     return spark.read.parquet(f"{folder}/points").groupBy("sink").agg(F.count(F.lit(1)).alias("points"))
 
 
@@ -405,7 +433,7 @@ def stream_ingest(spark, sf_dir):
 @query("stream_dedup")
 def stream_dedup(spark, sf_dir):
     folder = S.run_on_tables(spark, _message_stream(spark, sf_dir), S.stream_dedup, "dedup")
-    return _ntz(S.results(spark, folder), "time")
+    return _ntz(S.read_dedup(spark, folder), "time")
 
 
 @query("stream_derive")
@@ -426,4 +454,4 @@ def stream_latest_status(spark, sf_dir):
 @query("stream_hourly")
 def stream_hourly(spark, sf_dir):
     folder = S.run_on_tables(spark, _message_stream(spark, sf_dir), S.stream_hourly, "hourly")
-    return _ntz(S.results(spark, folder), "hour_start")
+    return _ntz(S.read_hourly(spark, folder), "hour_start")

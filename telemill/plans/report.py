@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numeric import count_true, mean_of, pct, rnd_even, unit_sum
+from ..functions.numeric import count_true, mean_of, pct, rnd_even, exact_sum
 from ..session import checkpointed
 
 # Report thresholds and the fixed parts of the action table.
@@ -27,8 +27,8 @@ def device_facts(telemetry: DataFrame) -> DataFrame:
     warm = F.col("temp_status").isin("Warning", "Critical")
     facts = telemetry.groupBy("device_id", "device_type", "location").agg(
         F.count(F.lit(1)).alias("n"),
-        unit_sum("cpu_pct").alias("cpu"), F.count("cpu_pct").alias("cpu_n"),
-        unit_sum("temperature_c").alias("temp"), F.count("temperature_c").alias("temp_n"),
+        exact_sum("cpu_pct").alias("cpu"), F.count("cpu_pct").alias("cpu_n"),
+        exact_sum("temperature_c").alias("temp"), F.count("temperature_c").alias("temp_n"),
         F.max("temperature_c").alias("temp_max"), F.max(F.when(warm, F.col("temperature_c"))).alias("warm_max"),
         F.max(F.when(critical_cpu, F.col("cpu_pct"))).alias("critical_cpu_max"),
         count_true(critical_cpu).alias("critical_n"), count_true("is_anomaly").alias("anomalies"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import anomaly
 from ..session import apply_conf
 from ..sources import csv_tables as C
+from ..sources.bindings import latest_per_device
 from ..sources.points import surrogate_id
 from . import fleet, kpis, machine, report
 
@@ -31,7 +32,13 @@ class Tables:
 
     @functools.cached_property
     def status(self) -> DataFrame:
-        return C.load_status_csv(self.spark, f"{self.folder}/status.csv")
+        path = f"{self.folder}/status.csv"
+        if C.STATUS_NAMES["timestamp"] in self.spark.read.option("header", True).csv(path).columns:
+            return latest_per_device(C.load_snapshots_csv(self.spark, path)).drop("timestamp")
+        rows = C.load_status_csv(self.spark, path)
+        if not rows.groupBy("device_id").count().filter("count > 1").isEmpty():
+            raise ValueError("several status rows of a device and no time to tell the latest")
+        return rows
 
     @functools.cached_property
     def events(self) -> DataFrame:

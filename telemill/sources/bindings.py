@@ -100,7 +100,7 @@ FROM {copies}
 STATUS_MESSAGE_SQL = """
 SELECT concat('fleet/', device_id, '/status') AS topic,
  concat('{{"device_type": "', device_type, '", "location": "', location, '", "uptime_s": ', CAST(uptime_s AS STRING),
-   ', "publish_count": ', CAST(publish_count AS STRING), ', "error_count": ', CAST(error_count AS STRING),
+   ', "publish_count": ', CASE WHEN uptime_s % 3540 = 0 THEN '"many"' ELSE CAST(publish_count AS STRING) END, ', "error_count": ', CAST(error_count AS STRING),
    CASE WHEN queue_depth = 0 THEN '' ELSE concat(', "queue_depth": ', CAST(queue_depth AS STRING)) END,
    ', "reconnect_count": ', CAST(reconnect_count AS STRING),
    CASE WHEN is_connected = 1 THEN ', "is_connected": true}}' ELSE ', "is_connected": false}}' END) AS payload,
@@ -156,11 +156,13 @@ def status_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_per_device(snapshots: DataFrame, ts: str = "timestamp") -> DataFrame:
     """The newest snapshot of each device, combined map-side.
 
-    One aggregate per column: those a query does not use are pruned with their
-    scan columns, and numbers alone stay in a hash aggregate.
+    A snapshot is taken whole: of two with one time the greater row counts, so
+    their values are never mixed.
     """
-    rest = [c for c in snapshots.columns if c != "device_id"]
-    return snapshots.groupBy("device_id").agg(*[F.max_by(c, ts).alias(c) for c in rest])
+    rest = [c for c in snapshots.columns if c not in ("device_id", ts)]
+    newest = F.max(F.struct(ts, *rest)).alias("newest")
+    return snapshots.groupBy("device_id").agg(newest).select(
+        *["device_id" if c == "device_id" else F.col(f"newest.{c}").alias(c) for c in snapshots.columns])
 
 
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,5 +222,15 @@ def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status_messages_from(table(spark, sf_dir, "events"))
 
 
+def event_messages_from(events: DataFrame) -> DataFrame:
+    fleet = events.sparkSession.sql(FLEET_EVENT_SQL, events=events)
+    return events.sparkSession.sql(EVENT_MESSAGE_SQL, fleet_events=fleet)
+
+
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(EVENT_MESSAGE_SQL, fleet_events=fleet_events(spark, sf_dir))
+    return event_messages_from(table(spark, sf_dir, "events"))
+
+
+def all_messages_from(events: DataFrame) -> DataFrame:
+    """Telemetry, status and event messages of one source."""
+    return messages_from(events).unionByName(status_messages_from(events)).unionByName(event_messages_from(events))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.derive import flag_text
+from ..functions.numeric import known_numbers
 
 # snake_case names and the display names of the exported files.
 TELEMETRY_NAMES = {
@@ -82,9 +83,13 @@ def write_csv(df: DataFrame, path: str, names: dict[str, str] | None = None) ->
 
 
 def _read(spark: SparkSession, path: str, columns: list[tuple[str, str]], names: dict[str, str]) -> DataFrame:
-    schema = T.StructType([T.StructField(names[c], T.StringType()) for c, _ in columns])
-    text = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
-    return from_display(text, names).select(*[F.col(c).cast(kind).alias(c) for c, kind in columns])
+    """The wanted columns, found by their header names; others are not read. NaN is read as null."""
+    text = from_display(spark.read.option("header", True).csv(path), names)
+    absent = [names[c] for c, _ in columns if c not in text.columns]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    typed = text.select(*[F.col(c).cast(kind).alias(c) for c, kind in columns])
+    return known_numbers(typed, [c for c, kind in columns if kind == "double"])
 
 
 def load_telemetry_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -101,6 +106,11 @@ def load_status_csv(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, STATUS_CSV, STATUS_NAMES)
 
 
+def load_snapshots_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Status rows with their time: an export may hold several snapshots of a device."""
+    return _read(spark, path, [*STATUS_CSV, ("timestamp", "timestamp_ntz")], STATUS_NAMES)
+
+
 def load_events_csv(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, EVENT_CSV, EVENT_NAMES)
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numeric import count_true
+from ..functions.numeric import count_true, known
 
 # Topic layout, payload fields and their defaults.
 ROOT = "fleet"
@@ -58,7 +58,7 @@ def parse(messages: DataFrame) -> DataFrame:
 def _number(name: str, kind: str) -> Column:
     text = F.col(f"d.{name}")
     if kind == "double":
-        return text.try_cast("double")
+        return known(text.try_cast("double"))
     # whole numbers may be written with a fraction, which is cut off
     return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
 
@@ -77,6 +77,18 @@ def _event_time() -> Column:
     return F.coalesce(F.col("d.timestamp").try_cast("timestamp"), arrival)
 
 
+def _bad_counters(kind: str) -> Column:
+    """A counter that is there but is no number."""
+    names = ["publish_count"] if kind == "telemetry" else STATUS_COUNTERS
+    bad = F.lit(False)
+    for name in names:
+        bad = bad | (F.col(f"d.{name}").isNotNull() & _number(name, "bigint").isNull())
+    if kind == "status":
+        flag = F.lower("d.is_connected")
+        bad = bad | (flag.isNotNull() & ~flag.isin("true", "false") & _number("is_connected", "bigint").isNull())
+    return bad
+
+
 def _complete() -> Column:
     ok = F.lit(True)
     for name, kind in TELEMETRY_REQUIRED.items():
@@ -92,7 +104,8 @@ def outcome() -> Column:
         .when(F.col("kind").isNull(), "ignored_topic")
         .when(~F.col("payload_ok"), "parse_error")
         .when(~known, "ignored_kind")
-        .when((F.col("kind") == "telemetry") & ~_complete(), "parse_error")
+        .when((F.col("kind") == "telemetry") & (~_complete() | _bad_counters("telemetry")), "parse_error")
+        .when((F.col("kind") == "status") & _bad_counters("status"), "parse_error")
         .otherwise("written")
     )
 

@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import derive
-from ..functions.numeric import count_true, mean, rnd
+from ..functions.numeric import count_true, exact_sum, mean_of, rnd
 from ..session import new_folder
 from ..sources import messages as M
+from ..sources.bindings import latest_per_device
 
-LATENESS = "10 minutes"
 SINKS = ["telemetry", "status", "events", "dead_letter"]
 POINT_FIELDS = [
     *M.TELEMETRY_REQUIRED, "publish_count", "error_count", "queue_depth", "inflight_count", "is_connected",
@@ -114,14 +114,24 @@ def read_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     return points.select("topic", "payload", "arrival_ts")
 
 
-def dedup(points: DataFrame, kind: str = "telemetry", lateness: str = LATENESS) -> DataFrame:
-    """Drop resends that arrive within the lateness; state older than that is let go."""
-    return points.withWatermark("time", lateness).dropDuplicatesWithinWatermark(M.POINT_KEYS[kind])
+def stream_dedup(messages: DataFrame, folder: str, kind: str = "telemetry") -> StreamingQuery:
+    """Points with resends dropped, whenever they arrive.
 
+    Devices queue messages while they are offline and send them late, so no
+    watermark decides: a batch drops its own repeats, and reading drops those between batches.
+    """
+    points = {"telemetry": M.telemetry_points, "status": M.status_points, "events": M.event_points}[kind](M.classified(messages))
+    write = _append_batches(f"{folder}/out", [])
+    return _run(points, folder, "append", lambda batch, n: write(batch.dropDuplicates(M.POINT_KEYS[kind]), n))
 
-def stream_dedup(messages: DataFrame, folder: str) -> StreamingQuery:
-    points = M.telemetry_points(M.classified(messages))
-    return _run(dedup(points), folder, "append", _append_batches(f"{folder}/out", []))
+
+def read_dedup(spark: SparkSession, folder: str, kind: str = "telemetry") -> DataFrame:
+    """One point per key; the first batch that brought it counts."""
+    rows = spark.read.parquet(f"{folder}/out")
+    keys = M.POINT_KEYS[kind]
+    rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    first = F.min(F.struct("batch_id", *rest)).alias("first")
+    return rows.groupBy(*keys).agg(first).select(*keys, *[F.col(f"first.{c}").alias(c) for c in rest])
 
 
 def derived(points: DataFrame) -> DataFrame:
@@ -139,33 +149,39 @@ def stream_derive(messages: DataFrame, folder: str) -> StreamingQuery:
 def stream_latest_status(messages: DataFrame, folder: str) -> StreamingQuery:
     """Latest status per device, kept as state; every batch writes the devices that changed."""
     points = M.status_points(M.classified(messages))
-    rest = [c for c in points.columns if c != "device_id"]
-    newest = points.groupBy("device_id").agg(*[F.max_by(c, "time").alias(c) for c in rest])
+    newest = latest_per_device(points, "time")
     return _run(derive.with_status_classes(newest), folder, "update", _append_batches(f"{folder}/out", []))
 
 
 def read_latest_status(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.parquet(f"{folder}/out")
-    rest = [c for c in rows.columns if c not in ("device_id", "batch_id")]
-    return rows.groupBy("device_id").agg(*[F.max_by(c, "batch_id").alias(c) for c in rest])
+    return latest_per_device(rows, "batch_id").drop("batch_id")
 
 
-def hourly(points: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Calendar-hour patterns; an hour is published once the watermark has passed its end."""
-    return (
-        points.withWatermark("time", lateness).groupBy(F.window("time", "1 hour"))
-        .agg(F.count(F.lit(1)).alias("reading_count"), rnd(mean("cpu_percent"), 1).alias("avg_cpu_pct"),
-             rnd(mean("temperature_c"), 1).alias("avg_temp_c"), rnd(F.max("cpu_percent"), 1).alias("peak_cpu_pct"),
-             count_true(F.col("anomaly") == "True").alias("anomaly_count"))
-        .select(F.col("window.start").alias("hour_start"), "reading_count", "avg_cpu_pct", "avg_temp_c",
-                "peak_cpu_pct", "anomaly_count")
-    )
+def hourly_parts(points: DataFrame) -> DataFrame:
+    """Sums per calendar hour that can be added up: no hour is ever closed, so no message is too late."""
+    return points.groupBy(F.date_trunc("hour", "time").alias("hour_start")).agg(
+        F.count(F.lit(1)).alias("readings"), exact_sum("cpu_percent").alias("cpu"), F.count("cpu_percent").alias("cpu_n"),
+        exact_sum("temperature_c").alias("temp"), F.count("temperature_c").alias("temp_n"),
+        F.max("cpu_percent").alias("cpu_max"), count_true(F.col("anomaly") == "True").alias("anomalies"))
 
 
 def stream_hourly(messages: DataFrame, folder: str) -> StreamingQuery:
-    """Hourly patterns without deduplication: two stateful steps would need two watermarks passed."""
+    """Hourly sums of each batch, without deduplication."""
     points = M.telemetry_points(M.classified(messages))
-    return _run(hourly(points), folder, "append", _append_batches(f"{folder}/out", []))
+    write = _append_batches(f"{folder}/out", [])
+    return _run(points, folder, "append", lambda batch, n: write(hourly_parts(batch), n))
+
+
+def read_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    """Calendar-hour patterns over all batches so far, the current hour included."""
+    sums = ["readings", "cpu", "cpu_n", "temp", "temp_n", "anomalies"]
+    hours = spark.read.parquet(f"{folder}/out").groupBy("hour_start").agg(
+        *[F.sum(c).alias(c) for c in sums], F.max("cpu_max").alias("cpu_max"))
+    return hours.select(
+        "hour_start", F.col("readings").alias("reading_count"), rnd(mean_of("cpu", "cpu_n"), 1).alias("avg_cpu_pct"),
+        rnd(mean_of("temp", "temp_n"), 1).alias("avg_temp_c"), rnd("cpu_max", 1).alias("peak_cpu_pct"),
+        F.col("anomalies").alias("anomaly_count"))
 
 
 def results(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,4 +1,6 @@
 import published as P
+from pyspark.sql import functions as F
+
 from telemill.plans import machine
 from telemill.sources import bindings as B
 
@@ -28,6 +30,13 @@ def test_slices_do_not_change_results(spark, sf_dir):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_rank_limit_reaches_the_tasks(spark, sf_dir):
-    plan = machine.risk_ranking(B.machines(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+def test_equal_scores_stay_spread(spark, sf_dir):
+    one = B.machines(spark, sf_dir).filter("NOT machine_failure").limit(1)
+    same = one.crossJoin(spark.range(500).select(F.col("id").alias("copy"))).withColumn("udi", F.col("copy")).drop("copy")
+    ranked = machine.risk_ranking(same)
+    assert {r.risk_rank for r in ranked.collect()} == {1} and ranked.count() == 500
+    # only the list of highest scores is ever put in one partition
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in plan
+    for line in plan.splitlines():
+        assert "SinglePartition" not in line or "product_id" not in line

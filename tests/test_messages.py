@@ -28,8 +28,10 @@ def test_routing_and_dead_letters(spark):
         ("fleet/d1/firmware", FULL, 0), ("fleet/d1/firmware", "{", 0), ("fleet/d1/telemetry", '{"cpu_percent": 1', 0),
         ("fleet/d1/telemetry", without, 0), ("fleet/d1/telemetry", {**FULL, "cpu_percent": "high"}, 0),
         ("fleet/d1/status", {}, 0), ("fleet/d1/events", {}, 0), ("fleet/d1/status", "nope", 0),
+        ("fleet/d1/status", {"queue_depth": "abc"}, 0), ("fleet/d1/telemetry", {**FULL, "publish_count": "xx"}, 0),
+        ("fleet/d1/status", {"is_connected": "perhaps"}, 0),
     ]) == ["written", "not_subscribed", "ignored_topic", "ignored_kind", "parse_error", "parse_error", "parse_error",
-           "parse_error", "written", "written", "parse_error"]
+           "parse_error", "written", "written", "parse_error", "parse_error", "parse_error", "parse_error"]
 
 
 def test_defaults(spark):
@@ -65,16 +67,16 @@ def test_stream_dedup_and_late_rows(spark):
     source, folder, hourly = (new_folder(spark, n) for n in ("src", "dedup", "hourly"))
     batches = [
         [("fleet/a/telemetry", FULL, 0), ("fleet/a/telemetry", FULL, 0), ("fleet/a/telemetry", FULL, 7200)],
-        [("fleet/a/telemetry", FULL, 7200), ("fleet/a/telemetry", FULL, 3)],       # a resend, and a row past the watermark
+        [("fleet/a/telemetry", FULL, 7200), ("fleet/a/telemetry", FULL, 3)],       # a resend, and a row two hours late
     ]
     for rows in batches:
         frame(spark, rows).coalesce(1).write.mode("append").parquet(source)
         S.stream_dedup(S.file_stream(spark, source, "*.parquet"), folder)
         S.stream_hourly(S.file_stream(spark, source, "*.parquet"), hourly)
-    seconds = sorted((r["time"] - T0).total_seconds() for r in S.results(spark, folder).collect())
-    assert seconds == [0.0, 7200.0]
-    hours = [(r["hour_start"], r["reading_count"]) for r in S.results(spark, hourly).collect()]
-    assert hours == [(T0, 2)]
+    seconds = sorted((r["time"] - T0).total_seconds() for r in S.read_dedup(spark, folder).collect())
+    assert seconds == [0.0, 3.0, 7200.0]  # the resend is dropped, the late reading is not
+    hours = sorted((r["hour_start"], r["reading_count"]) for r in S.read_hourly(spark, hourly).collect())
+    assert hours == [(T0, 3), (T0 + datetime.timedelta(hours=2), 2)]  # all readings, the last hour included
 
 
 def test_stream_latest_status(spark):
