@@ -15,29 +15,46 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import checkpointed
 
 ROWS_PER_SLICE = 1_000_000
+BORDERS = 2047
 
 
 def range_of(df: DataFrame, order: str) -> tuple:
-    """Row count and extremes of an order key; reads that one column."""
-    return tuple(df.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first())
+    """Row count and the ``BORDERS`` quantiles of an order key; reads that one column."""
+    parts = [i / (BORDERS + 1) for i in range(1, BORDERS + 1)]
+    borders = F.percentile_approx(order, parts, 10 * BORDERS)
+    return tuple(df.agg(F.count(F.lit(1)), borders).first())
+
+
+def _borders_up_to(x: Column, borders: list) -> Column:
+    """How many of the sorted borders a value reaches: a binary search, one comparison per halving."""
+    step = 1 << max(len(borders).bit_length() - 1, 0)
+    steps = []
+    while step:
+        steps.append(step)
+        step >>= 1
+    listed = F.array(*[F.lit(b) for b in borders])
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, s: F.when((at + s <= len(borders)) & (F.get(listed, at + s - 1) <= x), at + s).otherwise(at))
 
 
 def slice_by_range(df: DataFrame, order: str, rows: int = ROWS_PER_SLICE, name: str = "slice",
                    extent: tuple | None = None) -> DataFrame:
     """Add a slice number that grows with a numeric order key (nulls first).
 
+    Borders are quantiles of the key, so a far outlier leaves the slices even;
+    rows without a key are spread over slices below zero by a hash of the row.
     ``extent`` is ``range_of`` the source, given where ``df`` is costly to compute.
     """
-    n, lo, hi = extent or range_of(df, order)
+    n, quantiles = extent or range_of(df, order)
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     slices = max(parallelism, math.ceil(n / rows))
-    if lo is None or hi == lo:
-        return df.withColumn(name, F.lit(0).cast("bigint"))
-    width = (hi - lo) / slices
-    at = F.floor((F.col(order) - F.lit(lo)) / F.lit(float(width)))
-    # least() skips nulls, so they are told apart first
-    number = F.when(F.col(order).isNull(), -1).otherwise(F.least(at, F.lit(slices - 1)))
-    return df.withColumn(name, number.cast("bigint"))
+    quantiles = quantiles or []
+    every = max(1, len(quantiles) // slices)
+    borders = sorted(set(quantiles[every - 1::every]))
+    without = -1 - F.pmod(F.xxhash64(*df.columns), F.lit(slices))
+    number = _borders_up_to(F.col(order), borders) if borders else F.lit(0)
+    return df.withColumn(name, F.when(F.col(order).isNull(), without).otherwise(number).cast("bigint"))
 
 
 def slice_by_order(df: DataFrame, order: list[str], slices: int, name: str = "slice") -> DataFrame:

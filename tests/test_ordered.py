@@ -91,3 +91,14 @@ def test_no_row_level_single_partition(spark):
     for i, line in enumerate(plan.splitlines()):
         if "SinglePartition" in line:
             assert "HashAggregate" in plan.splitlines()[i + 1]
+
+
+def test_slices_stay_even(spark):
+    """One far key and half null keys: no slice holds much more than its share."""
+    rows = [(i,) for i in range(4000)] + [(10**15,)] + [(None,)] * 4000
+    df = spark.createDataFrame(rows, "udi bigint").withColumn("copy", F.monotonically_increasing_id())
+    sizes = {r["slice"]: r["count"] for r in slice_by_range(df, "udi", 500).groupBy("slice").count().collect()}
+    assert max(sizes.values()) <= 1000 and sum(sizes.values()) == 8001
+    numbered = number_rows(slice_by_range(df, "udi", 500), ["udi"], ["slice"])
+    assert sorted(r.rn for r in numbered.collect()) == list(range(1, 8002))
+    assert numbered.filter(F.col("udi") == 10**15).first().rn == 8001
