@@ -45,8 +45,9 @@ def documents():
 def test_links_and_components(spark, monkeypatch):
     rows = documents()
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, key string")
-    for words, block in ((2, 2048), (5, 7)):
+    for words, block, tokens in ((2, 7, 300), (5, 2048, 400_000)):
         monkeypatch.setattr(M, "BLOCK", block)
+        monkeypatch.setattr(M, "TOKENS", tokens)
         got = {r.id: (r.n_shingles, r.component_id, r.kept) for r in M.linked(df, words=words).collect()}
         assert got == brute(rows, words)
 
