@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import count_true, pct, rnd
-from ..session import checkpointed
+from ..session import written
 from ..sources.bindings import with_machine_features
 from .joins import attach
 from .order_stats import grouped_quantiles, quantile_row
@@ -267,7 +267,7 @@ def imputed_readings(raw: DataFrame, rows: int = ROWS_PER_SLICE) -> DataFrame:
 
 def deduplicated(raw: DataFrame, rows: int = ROWS_PER_SLICE) -> DataFrame:
     """Steps 1 to 4, kept on shared storage: the fences of step 6 need it before the rows do."""
-    return checkpointed(dedup_exact(imputed_readings(raw, rows)))
+    return written(dedup_exact(imputed_readings(raw, rows)), "cleaned")
 
 
 def finish(readings: DataFrame) -> DataFrame:

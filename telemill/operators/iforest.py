@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.numeric import known_numbers
-from ..session import checkpointed
+from ..session import checkpointed, written
 
 TREES = 100
 SAMPLE = 256
@@ -186,7 +186,7 @@ def isolation_scores(df: DataFrame, key: str, row_id: str, features: list[str],
     tasks = max(shuffle, math.ceil(total / rows_per_task))
     if large.isEmpty():
         spread = hashed.repartition(tasks, key)
-        return checkpointed(spread.groupBy(key).applyInArrow(_train_and_score(key, features, seed, pool), out))
+        return written(spread.groupBy(key).applyInArrow(_train_and_score(key, features, seed, pool), out), "scores")
 
     # at most total/rows_per_task groups are large, so that list is safe to broadcast
     large = F.broadcast(large)
@@ -211,4 +211,4 @@ def isolation_scores(df: DataFrame, key: str, row_id: str, features: list[str],
     with_part = T.StructType([*salted_rows.schema.fields, T.StructField("iforest_score", T.DoubleType())])
     big_scored = salted_rows.groupBy(key, "_part").cogroup(salted_models.groupBy(key, "_part")).applyInArrow(
         _score(features), with_part)
-    return checkpointed(small_scored.unionByName(big_scored.drop("_part")))
+    return written(small_scored.unionByName(big_scored.drop("_part")), "scores")

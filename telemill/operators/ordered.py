@@ -12,7 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, written
 
 ROWS_PER_SLICE = 1_000_000
 BORDERS = 2047
@@ -64,7 +64,7 @@ def slice_by_order(df: DataFrame, order: list[str], slices: int, name: str = "sl
     anew it could fall elsewhere.
     """
     ranged = df.repartitionByRange(slices, *order)
-    return checkpointed(ranged.withColumn(name, F.spark_partition_id().cast("bigint")))
+    return written(ranged.withColumn(name, F.spark_partition_id().cast("bigint")), "sliced")
 
 
 def slice_hot_groups(df: DataFrame, key: str, order: list[str], rows: int = ROWS_PER_SLICE,

@@ -10,7 +10,7 @@ from ..functions.histogram import histogram, histograms
 from ..functions.numeric import count_true, pct, rnd, rnd_even
 from ..operators import cleaning
 from ..operators.order_stats import quantile_row
-from ..session import checkpointed
+from ..session import checkpointed, written
 
 # Columns and bins of the charts.
 MODES = {"failure_twf": "TWF", "failure_hdf": "HDF", "failure_pwf": "PWF", "failure_osf": "OSF", "failure_rnf": "RNF"}
@@ -157,7 +157,7 @@ def cleaning_log(raw: DataFrame) -> DataFrame:
     before = cleaning.coerce_wear(text).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(nulls).alias("nulls"),
         count_true(F.col("_text").isNotNull() & F.col("tool_wear_min").isNull()).alias("sentinels")).first()
-    unique = checkpointed(cleaning.dedup_exact(cleaning.impute(numeric)))
+    unique = written(cleaning.dedup_exact(cleaning.impute(numeric)), "imputed")
     fences = cleaning.clip_fences(unique)
     outside = F.lit(0)
     for c, (lo, hi) in fences.items():

@@ -66,3 +66,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Compute once, keep on shared storage, survive lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Row sets that are read again: Parquet below the shared folder, so readers prune columns and push filters."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
