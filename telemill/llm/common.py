@@ -29,9 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: computed once, pruned on reading, safe from lost executors."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    # the shuffles behind it are not needed any more; Spark drops their files when the driver collects its garbage
+    # Spark drops the shuffle files of ended jobs when the driver collects its garbage: do so before more are written
     df.sparkSession.sparkContext._jvm.System.gc()
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

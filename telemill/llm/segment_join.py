@@ -42,7 +42,7 @@ def slices(texts: pa.Array):
 
 
 def occurrences(rows: DataFrame, unit: str, gram: int, length: int) -> DataFrame:
-    """Segments of all texts: anchor, seg (content hash), key, pos (first token), n (windows)."""
+    """Segments of all texts: anchor, seg (content hash), key, place (first token and windows in one number)."""
     assert length - gram + 1 <= MOST_WINDOWS
 
     def find(batches):
@@ -52,10 +52,15 @@ def occurrences(rows: DataFrame, unit: str, gram: int, length: int) -> DataFrame
                 values, offsets = tokens(unit, texts)
                 for anchor, seg, text, pos, n in anchors.segments(values, offsets, gram, length):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(anchor), pa.array(seg), keys.take(pa.array(text + lo)), pa.array(pos), pa.array(n)],
-                        ["anchor", "seg", "key", "pos", "n"])
+                        [pa.array(anchor), pa.array(seg), keys.take(pa.array(text + lo)), pa.array(pos << 6 | n)],
+                        ["anchor", "seg", "key", "place"])
 
-    return rows.select("key", "text").mapInArrow(find, "anchor long, seg long, key long, pos long, n long")
+    return rows.select("key", "text").mapInArrow(find, "anchor long, seg long, key long, place long")
+
+
+def _place() -> tuple[Column, Column]:
+    """First token and number of windows of a place."""
+    return F.shiftright("place", 6), F.col("place").bitwiseAND(63)
 
 
 def shared(found: DataFrame, several: Column) -> DataFrame:
@@ -66,9 +71,11 @@ def shared(found: DataFrame, several: Column) -> DataFrame:
 
 def classes(occurring: DataFrame) -> DataFrame:
     """One row per different segment: anchor, seg, its first place and windows, and the classes of its anchor."""
-    first = F.min(F.struct("key", "pos")).alias("first")
-    each = stored(occurring.groupBy("anchor", "seg").agg(first, F.max("n").alias("n")).select(
-        "anchor", "seg", F.col("first.key").alias("key"), F.col("first.pos").alias("pos"), "n"), "classes")
+    pos, windows = _place()
+    first = F.min(F.struct("key", "place")).alias("first")
+    each = stored(occurring.groupBy("anchor", "seg").agg(first).select(
+        "anchor", "seg", F.col("first.key").alias("key"), F.col("first.place").alias("place")).select(
+        "anchor", "seg", "key", pos.alias("pos"), windows.alias("n")), "classes")
     several = each.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     return each.join(several, "anchor", "left")
 
@@ -134,7 +141,9 @@ def marks(occurring: DataFrame, kinds: DataFrame, masks: DataFrame, copy: Column
         masks, ["anchor", "seg"], "left")
     all_bits = F.expr("shiftrightunsigned(-1L, cast(64 - n as int))")
     mask = F.when(copy, all_bits).otherwise(F.coalesce("mask", F.lit(0)))
-    gone = occurring.join(each, ["anchor", "seg"]).select("key", "pos", mask.alias("mask")).filter("mask != 0")
+    pos, windows = _place()
+    named = occurring.join(each, ["anchor", "seg"]).withColumns({"pos": pos, "n": windows})
+    gone = named.select("key", "pos", mask.alias("gone")).filter("gone != 0").withColumnRenamed("gone", "mask")
     return gone.groupBy("key").agg(F.collect_list(F.struct("pos", "mask")).alias("gone"))
 
 
