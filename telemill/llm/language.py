@@ -30,7 +30,7 @@ SAMPLE_TEXTS = 48
 SAMPLE_CHARS = 600
 BLOCK = 256
 #: Bytes of text that a task parses at once.
-SLICE = 1 << 20
+SLICE = 1 << 19
 UNKNOWN = "und"
 
 
