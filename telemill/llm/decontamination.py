@@ -1,9 +1,11 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words lose case and punctuation. In templates, numbers, names (capitalised words
-inside a sentence) and units after numbers become typed placeholders. Windows of
-``WINDOW`` words of every document are looked up among the windows of the benchmark, both as
-plain words and as templates. A template match must keep its slots consistent: within
+Words lose case and punctuation. In templates, numbers, names and units after numbers
+become typed placeholders. The item alone decides which words are names: those it shows
+capitalised inside a sentence. Its other capitalised words may be names too: both readings are
+tried. In documents any word but numbers and small common words fits a name, whatever its case and
+place. Windows of ``WINDOW`` words of every document are looked up among the windows of the
+benchmark, both as plain words and as templates. A template match must keep its slots consistent: within
 a run of matching windows each value of the question stands for one value of the
 document and the other way round, so re-parameterised questions are found and mere
 lookalikes are not.
@@ -47,14 +49,34 @@ UNITS = frozenset("mm cm m km in ft yd mi mg g kg lb lbs oz ml l s sec secs seco
                   "pound pounds mph kmh kph hz khz mhz ghz w kw v kb mb gb tb c f k meters metres meter metre miles mile inches "
                   "feet grams gram liters litres liter".split())
 NUMBER = re.compile(r"[\d.,:/%$€£+-]*\d[\d.,:/%$€£+-]*")
-PLAIN, NUM, NAME, UNIT = 0, 1, 2, 3
+# Words that are no names, however written.
+COMMON = frozenset("a about add after all also an and any are as at be because been before both but by calculate can choose compute "
+                   "consider could describe determine did do does during each either evaluate every explain express few find first "
+                   "for from give given had has have he her here his how however i if in into is it its last let list many more most "
+                   "must my name next no not now of on one only or other our out over please select she should show simplify since so "
+                   "solve some state suppose that the their them then there these they this those through to under until up was we "
+                   "were what when where whether which while who whom whose why with would write yes you your "
+                   "aber als am an auf aus bei berechne bis das dem den der des die doch ein eine einem einen einer es finde für gib "
+                   "hat im ist jede jeder jedes man mit nach nur oder sie sind über um und von vor wann war warum was welche welcher "
+                   "welches wenn wer wie wieviel wo zu zum zur al calcula como cómo con cual cuál cuando cuándo cuántas cuántos de "
+                   "del donde dónde el en entre es la las lo los no para pero por qué que quién se si sin su un una y au aux avec "
+                   "calculez ce ces cette combien comment dans des du elle est et il ils le les mais on où par pas pour pourquoi "
+                   "quand quel quelle quels qui quoi sont sur trouvez une".split())
+#: A MAYBE opens a sentence in capitals, or is a name elsewhere in its item: a name, or just the word it is.
+PLAIN, NUM, NAME, UNIT, MAYBE = range(5)
+#: Seeds of template windows: words at these places, from a run of up to eight, or any three of seven.
+RUNS = [tuple(range(n)) for n in (8, 6, 4, 3)]
+TRIPLES = [(0, a, b) for b in range(2, 7) for a in range(1, b)]
+#: Candidates compared at once.
+CHUNK = 1 << 18
+BITS = 20
 
 
 @functools.lru_cache(maxsize=200_000)
 def _word(raw: str) -> tuple[str, int]:
-    """The bare word, and bits: 1 number, 2 unit, 4 capitalised, 8 ends a sentence."""
+    """The bare word, and bits: 1 number, 2 unit, 4 capitalised, 8 ends a sentence, 16 fits a name."""
     if raw.isalpha() and raw.islower():
-        return raw, 1 if raw in NUMBERS else 2 if raw in UNITS else 0
+        return raw, 1 if raw in NUMBERS else (2 if raw in UNITS else 0) | (0 if raw in COMMON else 16)
     bare = re.sub(r"[\W_]+", "", raw.lower())
     bits = 0
     if bare and (NUMBER.fullmatch(raw) or bare in NUMBERS or bare.isdigit()):
@@ -68,83 +90,217 @@ def _word(raw: str) -> tuple[str, int]:
         bits |= 4
     if re.search(r"[.!?:]\W*$", raw):
         bits |= 8
+    if not bits & 1 and (bits & 4 or bare not in COMMON):
+        bits |= 16
     return bare, bits
 
 
-def _hash(words: list[str]) -> np.ndarray:
-    data = pa.array(words, pa.string())
-    raw, offsets = anchors.text_buffers(data)
-    sums = anchors.prefix_sums(anchors.byte_values()[raw])
-    return anchors.mixed(anchors.span_hash(sums, offsets[:-1], offsets[1:]) + np.diff(offsets).astype(np.uint64))
+def _typed(text: str) -> list[tuple[str, int]]:
+    """The words of an item and their kinds. A line break ends a sentence."""
+    out = []
+    after_number = False
+    for line in re.split(r"[\n\v\f\r]+", text):
+        opens = True
+        for raw in re.findall(r"[^ \t]+", line):
+            bare, bits = _word(raw)
+            if bare:
+                kind = PLAIN
+                if bits & 1:
+                    kind = NUM
+                elif bits & 2 and after_number:
+                    kind = UNIT
+                elif bits & 4 and opens != (bare in COMMON):
+                    kind = MAYBE
+                elif bits & 4 and not opens:
+                    kind = NAME
+                out.append((bare, kind))
+            opens = bool(bits & 8) or opens and not bare
+            after_number = bool(bits & 1)
+    names = {w for w, kind in out if kind == NAME}
+    return [(w, MAYBE if kind == PLAIN and w in names else kind) for w, kind in out]
 
 
 class Words:
-    """Words of some texts: spelled (bare words), at (index into them), kind of placeholder, first word of each text."""
+    """Words of some texts: spelled (bare words) and bits, at (index into them), text of each, their marks of ``_word``."""
 
     def __init__(self, texts: pa.Array):
         split = pc.ascii_split_whitespace(texts)
         bounds = np.asarray(split.offsets)
-        bounds = bounds - bounds[0]
         coded = split.flatten().dictionary_encode()
         known = [_word(w) for w in coded.dictionary.to_pylist()]
         self.spelled = [w for w, _ in known]
-        bits = np.array([b for _, b in known], np.int64)
-        at = np.asarray(coded.indices)
-        filled = np.array([bool(w) for w, _ in known], bool)
-        keep = filled[at] if len(at) else np.zeros(0, bool)
-        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        own = bits[at] if len(at) else np.zeros(0, np.int64)
-        opens = np.ones(len(at), bool)  # first of a text or after the end of a sentence
-        opens[1:] = (text[1:] != text[:-1]) | (own[:-1] & 8 > 0)
-        after_number = np.zeros(len(at), bool)
-        after_number[1:] = (own[:-1] & 1 > 0) & (text[1:] == text[:-1])
-        kind = np.where(own & 1 > 0, NUM, np.where((own & 2 > 0) & after_number, UNIT, np.where(
-            (own & 4 > 0) & ~opens, NAME, PLAIN)))
-        self.at, self.kind = at[keep], kind[keep]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(text[keep], minlength=len(bounds) - 1))])
-        hashes = _hash(self.spelled)
-        plain = hashes[self.at] if len(self.at) else np.zeros(0, np.uint64)
-        marks = _hash(["", "<number>", "<name>", "<unit>"])
-        template = np.where(self.kind == PLAIN, plain, marks[self.kind])
-        self.sums = anchors.prefix_sums(plain), anchors.prefix_sums(template)
-        self.slots = np.concatenate([[0], np.cumsum(self.kind != PLAIN)])
-
-    def windows(self, length: int, variant: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of the windows that stay in one text, and their hashes."""
-        n = len(self.at)
-        start = np.arange(max(n - length + 1, 0))
-        stop = np.repeat(self.first[1:], np.diff(self.first))
-        start = start[start + length <= stop[:len(start)]]
-        tag = np.uint64(length * 2 + variant)
-        return start, anchors.mixed(anchors.span_hash(self.sums[variant], start, start + length) + tag)
-
-    def word(self, i: int) -> str:
-        return self.spelled[self.at[i]]
+        bits = np.array([b for _, b in known], np.uint8)
+        filled = np.array([bool(w) for w in self.spelled], bool)
+        at = np.asarray(coded.indices).astype(np.int64)
+        keep = filled[at]
+        self.at = at[keep]
+        self.text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[keep]
+        self.bits = bits[self.at]
+
+
+def _shape_hash(values: np.ndarray, sums: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
+    """Hash of the words at ``shape`` from each place on."""
+    n = max(len(values) - shape[-1], 0)
+    if len(shape) > 3:
+        start = np.arange(n)
+        return anchors.span_hash(sums, start, start + len(shape))
+    out = np.zeros(n, np.uint64)
+    for k, o in enumerate(shape):
+        out += values[o:o + n] * np.uint64(pow(anchors.BASE, k + 1, 1 << 64))
+    return out
+
+
+class Seeds:
+    """Places of the items that share a shape, sorted by hash: where the window begins and how long it is."""
+
+    def __init__(self, hashes: np.ndarray, begin: np.ndarray, offset: np.ndarray, length: np.ndarray):
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.begin, self.offset, self.length = hashes[order], begin[order], offset[order], length[order]
+        self.some = np.zeros(1 << BITS, bool)
+        self.some[hashes >> np.uint64(64 - BITS)] = True
+
+    def candidates(self, own: np.ndarray):
+        """Pairs of a place with hash ``own`` and a seed, a bounded number at a time."""
+        at = np.flatnonzero(self.some[own >> np.uint64(64 - BITS)])
+        lo = np.searchsorted(self.hashes, own[at])
+        count = np.searchsorted(self.hashes, own[at], "right") - lo
+        at, lo, count = at[count > 0], lo[count > 0], count[count > 0]
+        total = np.concatenate([[0], np.cumsum(count)])
+        for a in range(0, total[-1], CHUNK):
+            pair = np.arange(a, min(a + CHUNK, total[-1]))
+            which = np.searchsorted(total, pair, "right") - 1
+            yield at[which], lo[which] + pair - total[which]
 
 
 class Items:
-    """A block of benchmark items with their windows, sorted by hash."""
+    """A block of benchmark items: their words, and seeds by which their windows are found.
+
+    Seeds hold only words that a match must repeat, with marks for numbers and units. A window with enough of them beside
+    its names is found by its best seed, one that needs some of its MAYBEs to be repeated by each triple of seven places:
+    of five words in 13 places three always stand that close.
+    """
 
     def __init__(self, ids: list, texts: list[str]):
         self.ids = ids
-        words = Words(pa.array(texts, pa.string()))
-        size = np.diff(words.first)
-        self.words = [[(words.word(i), int(words.kind[i])) for i in range(a, b)] for a, b in zip(words.first, words.first[1:])]
-        found: dict[tuple[int, int], list] = {}
-        for length in range(LEAST, WINDOW + 1):
-            item_ok = size == length if length < WINDOW else size >= WINDOW
-            if not item_ok.any():
-                continue
-            for variant in (0, 1):
-                start, hashes = words.windows(length, variant)
-                item = np.searchsorted(words.first, start, "right") - 1
-                keep = item_ok[item]
-                if variant:
-                    slots = words.slots[start + length] - words.slots[start]
-                    keep &= (slots > 0) & (length - slots >= min(LITERAL, LEAST))
-                order = np.argsort(hashes[keep], kind="stable")
-                found[length, variant] = [hashes[keep][order], item[keep][order], (start - words.first[item])[keep][order]]
-        self.found = {k: v for k, v in found.items() if len(v[0])}
+        typed = [_typed(t) for t in texts]
+        flat = [w for words in typed for w in words]
+        self.spelled = [w for w, _ in flat]
+        self.kind = np.array([k for _, k in flat], np.int64)
+        self.item = np.repeat(np.arange(len(typed)), [len(words) for words in typed])
+        self.vocabulary: dict[str, int] = {}
+        self.word = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in self.spelled], np.int64)
+        # of each word, then number, unit, unknown
+        self.values = np.random.default_rng(20200109).integers(1, 1 << 63, len(self.vocabulary) + 3).astype(np.uint64)
+        fixed = np.where(self.kind == NUM, -3, np.where([w in UNITS for w in self.spelled], -2, self.word)) if flat else self.word
+        self.plain, found = {}, {}
+        first = 0
+        for words in typed:
+            length = min(len(words), WINDOW)
+            for begin in range(first, first + len(words) - length + 1 if length >= LEAST else first):
+                self.plain.setdefault(tuple(range(length)), []).append((begin, 0, length))
+                for shape, offset in self._seeds([k for _, k in words[begin - first:begin - first + length]]):
+                    found.setdefault(shape, []).append((begin, offset, length))
+            first += len(words)
+        self.plain = {shape: self._table(shape, rows, self.values[self.word]) for shape, rows in self.plain.items()}
+        self.found = {shape: self._table(shape, rows, self.values[fixed]) for shape, rows in found.items()}
+
+    @staticmethod
+    def _seeds(kind: list[int]) -> list[tuple[tuple[int, ...], int]]:
+        """Shapes and places of the seeds of a template window; none if it cannot have the literal words."""
+        sure = kind.count(PLAIN)
+        if sure == len(kind) or sure + kind.count(MAYBE) < LEAST:
+            return []
+        triples = [(t, o) for t in TRIPLES for o in range(len(kind) - t[-1])]
+        if sure < LEAST:
+            return [(t, o) for t, o in triples if all(kind[o + k] in (PLAIN, MAYBE) for k in t)]
+        runs = [(t, o) for t in RUNS for o in range(len(kind) - t[-1]) if all(kind[o + k] not in (NAME, MAYBE) for k in t)]
+        able = runs + [(t, o) for t, o in triples if all(kind[o + k] == PLAIN for k in t)]
+        return [max(able, key=lambda s: (sum(kind[s[1] + k] == PLAIN for k in s[0]), -s[0][-1]))]
+
+    @staticmethod
+    def _table(shape: tuple[int, ...], rows: list, values: np.ndarray) -> Seeds:
+        begin, offset, length = np.array(rows, np.int64).T
+        return Seeds(_shape_hash(values, anchors.prefix_sums(values), shape)[begin + offset], begin, offset, length)
+
+
+class Lookup:
+    """Windows of the items among the words of some texts."""
+
+    def __init__(self, items: Items, words: Words):
+        self.items, self.words = items, words
+        known = np.array([items.vocabulary.get(w, -1) for w in words.spelled], np.int64)
+        self.word = known[words.at]
+        number, unit = words.bits & 1 > 0, words.bits & 2 > 0
+        self.fits = {NUM: number, UNIT: unit, NAME: words.bits & 16 > 0, MAYBE: words.bits & 16 > 0}
+        self.plain = items.values[self.word]
+        self.fixed = items.values[np.where(number, -3, np.where(unit, -2, self.word))]
+
+    def windows(self, tables: dict, values: np.ndarray, template: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching windows, each pair once: begin among the words, begin among the items' words, length."""
+        sums = anchors.prefix_sums(values)
+        out = [np.zeros((3, 0), np.int64)]
+        for shape, seeds in tables.items():
+            for at, seed in seeds.candidates(_shape_hash(values, sums, shape)):
+                here, there, length = at - seeds.offset[seed], seeds.begin[seed], seeds.length[seed]
+                keep = (here >= 0) & (here + length <= len(values))
+                here, there, length = here[keep], there[keep], length[keep]
+                keep = self.words.text[here] == self.words.text[here + length - 1]
+                out.append(self._alike(here[keep], there[keep], length[keep], template))
+        here, there, length = np.concatenate(out, 1)
+        _, once = np.unique(here * len(self.items.word) + there, return_index=True)
+        return here[once], there[once], length[once]
+
+    def _alike(self, here: np.ndarray, there: np.ndarray, length: np.ndarray, template: bool) -> np.ndarray:
+        """Those windows whose words are alike: the words themselves, not only their hash."""
+        literal, slots = np.zeros((2, len(here)), np.int64)
+        for j in range(WINDOW):
+            inside = j < length
+            h, t = np.where(inside, here + j, here), np.where(inside, there + j, there)
+            same = self.word[h] == self.items.word[t]
+            if template:
+                kind = self.items.kind[t]
+                slot = (kind != PLAIN) & ~((kind == MAYBE) & same)
+                literal += inside & ~slot
+                slots += inside & slot
+                for k, fits in self.fits.items():
+                    same = np.where((kind == k) & fits[h], True, same & ((kind != k) | (k in (NAME, MAYBE))))
+            keep = same | ~inside
+            here, there, length, literal, slots = (x[keep] for x in (here, there, length, literal, slots))
+        if template:
+            keep = (slots > 0) & (literal >= np.minimum(LITERAL, LEAST))
+            here, there, length = here[keep], there[keep], length[keep]
+        return np.array([here, there, length], np.int64)
+
+    def slots(self, here: int, there: int, size: int) -> list[tuple[int, int, str, str]]:
+        """Filled slots of a span: place, kind, value in the item, value in the document."""
+        kind = self.items.kind[there:there + size]
+        same = self.items.word[there:there + size] == self.word[here:here + size]
+        return [(int(j), NAME if kind[j] == MAYBE else int(kind[j]), self.items.spelled[there + j],
+                 self.words.spelled[self.words.at[here + j]]) for j in np.flatnonzero((kind != PLAIN) & ~((kind == MAYBE) & same))]
+
+    def counted(self, here: int, there: int, count: int, length: int) -> int:
+        """Windows with consistent slots in a run of ``count`` matching ones.
+
+        Where the slots clash, words that are not written like names, and all MAYBEs, are taken as they are.
+        """
+        if _consistent({s[1:] for s in self.slots(here, there, count + length - 1)}):
+            return count
+        size = count + length - 1
+        kind = self.items.kind[there:there + size]
+        bits = self.words.bits[here:here + size]
+        able = (self.word[here:here + size] == self.items.word[there:there + size]) | (kind != MAYBE) & (
+            (kind != NAME) | (bits & 20 == 20))
+        full = np.lib.stride_tricks.sliding_window_view(able, length).all(1)
+        if full.all():
+            return 0
+        full &= np.lib.stride_tricks.sliding_window_view((kind != PLAIN) & (kind != MAYBE), length).any(1)
+        return sum(n for at, n in _runs(np.flatnonzero(full))
+                   if _consistent({s[1:] for s in self.slots(here + at, there + at, n + length - 1)}))
+
+
+def _runs(at: np.ndarray) -> list[tuple[int, int]]:
+    """First and count of each run of successive numbers."""
+    return [(int(run[0]), len(run)) for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(run)]
 
 
 def _consistent(pairs: set[tuple[int, str, str]]) -> bool:
@@ -157,37 +313,25 @@ def _hits(items: Items, texts: pa.Array) -> list[dict[int, list[int]]]:
     """Per text: item -> [plain windows, template windows]."""
     words = Words(texts)
     out: list[dict[int, list[int]]] = [{} for _ in range(len(texts))]
-    for (length, variant), (hashes, item, pos) in items.found.items():
-        start, own = words.windows(length, variant)
-        lo = np.searchsorted(hashes, own)
-        hit = np.flatnonzero(hashes[np.minimum(lo, len(hashes) - 1)] == own)
-        runs: dict[tuple[int, int, int], list[int]] = {}
-        for h in hit:
-            i = int(start[h])
-            text = int(np.searchsorted(words.first, i, "right") - 1)
-            for k in range(lo[h], np.searchsorted(hashes, own[h], "right")):
-                there = items.words[item[k]][pos[k]:pos[k] + length]
-                here = [(words.word(j), int(words.kind[j])) for j in range(i, i + length)]
-                if variant:
-                    alike = all(a[1] == b[1] and (a[1] or a[0] == b[0]) for a, b in zip(there, here))
-                else:
-                    alike = all(a[0] == b[0] for a, b in zip(there, here))
-                if alike:  # the words themselves, not only their hash
-                    runs.setdefault((text, int(item[k]), i - int(pos[k])), []).append(i)
-        for (text, which, shift), at in runs.items():
-            count = out[text].setdefault(which, [0, 0])
-            if not variant:
-                count[0] += len(at)
-                continue
-            at.sort()
-            cuts = np.flatnonzero(np.diff(at) > 1) + 1
-            for run in np.split(np.array(at), cuts):
-                span = range(run[0], run[-1] + length)
-                pairs = {(int(words.kind[j]), items.words[which][j - shift][0], words.word(j))
-                         for j in span if words.kind[j] != PLAIN}
-                if _consistent(pairs):
-                    count[1] += len(run)
-    return [{which: c for which, c in own.items() if any(c)} for own in out]
+    if not len(words.at):
+        return out
+    found = Lookup(items, words)
+    here, there, _ = found.windows(items.plain, found.plain, False)
+    for text, item in zip(words.text[here], items.item[there]):
+        out[text].setdefault(int(item), [0, 0])[0] += 1
+    here, there, length = found.windows(items.found, found.fixed, True)
+    shift = here - there
+    order = np.lexsort((here, items.item[there], shift))
+    here, there, length, shift = here[order], there[order], length[order], shift[order]
+    cut = (np.diff(here) != 1) | (np.diff(shift) != 0)  # the next window of the same item at the same shift
+    cut |= np.diff(items.item[there]) != 0
+    for run in np.split(np.arange(len(here)), np.flatnonzero(cut) + 1):
+        if len(run):
+            i = run[0]
+            count = found.counted(int(here[i]), int(there[i]), len(run), int(length[i]))
+            if count:
+                out[words.text[here[i]]].setdefault(int(items.item[there[i]]), [0, 0])[1] += count
+    return out
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[Items]:
