@@ -5,10 +5,10 @@ become typed placeholders. The item alone decides which words are names: those i
 capitalised inside a sentence. Its other capitalised words may be names too: both readings are
 tried. In documents any word but numbers and small common words fits a name, whatever its case and
 place. Windows of ``WINDOW`` words of every document are looked up among the windows of the
-benchmark, both as plain words and as templates. A template match must keep its slots consistent: within
-a run of matching windows each value of the question stands for one value of the
-document and the other way round, so re-parameterised questions are found and mere
-lookalikes are not.
+benchmark, both as plain words and as templates. A template match must keep its slots consistent, so
+that re-parameterised questions are found and mere lookalikes are not: within a window each number
+and unit of the question stands for one of the document (several may come to the same), and within
+a run of matching windows each name for one name and the other way round.
 
 An item with fewer words than a window is one window; items with fewer than
 ``LEAST`` words are no evidence and are not searched.
@@ -281,10 +281,11 @@ class Lookup:
     def counted(self, here: int, there: int, count: int, length: int) -> int:
         """Windows with consistent slots in a run of ``count`` matching ones.
 
-        Where the slots clash, words that are not written like names, and all MAYBEs, are taken as they are.
+        Where the names clash, words that are not written like names, and all MAYBEs, are taken as they are.
         """
-        if _consistent({s[1:] for s in self.slots(here, there, count + length - 1)}):
-            return count
+        slots = self.slots(here, there, count + length - 1)
+        if _one_to_one(slots):
+            return _steady(slots, count, length)
         size = count + length - 1
         kind = self.items.kind[there:there + size]
         bits = self.words.bits[here:here + size]
@@ -294,8 +295,8 @@ class Lookup:
         if full.all():
             return 0
         full &= np.lib.stride_tricks.sliding_window_view((kind != PLAIN) & (kind != MAYBE), length).any(1)
-        return sum(n for at, n in _runs(np.flatnonzero(full))
-                   if _consistent({s[1:] for s in self.slots(here + at, there + at, n + length - 1)}))
+        runs = [(self.slots(here + at, there + at, n + length - 1), n) for at, n in _runs(np.flatnonzero(full))]
+        return sum(_steady(slots, n, length) for slots, n in runs if _one_to_one(slots))
 
 
 def _runs(at: np.ndarray) -> list[tuple[int, int]]:
@@ -303,10 +304,27 @@ def _runs(at: np.ndarray) -> list[tuple[int, int]]:
     return [(int(run[0]), len(run)) for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(run)]
 
 
-def _consistent(pairs: set[tuple[int, str, str]]) -> bool:
-    """Whether each slot value of the item stands for one value of the document, and the other way round."""
+def _one_to_one(slots: list[tuple[int, int, str, str]]) -> bool:
+    """Whether each name of the item stands for one word of the document, and the other way round."""
     there, back = {}, {}
-    return all(there.setdefault((k, a), b) == b and back.setdefault((k, b), a) == a for k, a, b in pairs)
+    return all(there.setdefault(a, b) == b and back.setdefault(b, a) == a for _, k, a, b in slots if k == NAME)
+
+
+def _steady(slots: list[tuple[int, int, str, str]], count: int, length: int) -> int:
+    """Windows of a run within which each number and unit of the item stands for one of the document."""
+    last: dict[tuple[int, str], tuple[int, str, int]] = {}  # place and value of the latest, place of the latest other value
+    clash = np.full(count + length, -1)  # per place of a window's last word: a place it must not reach back to
+    for place, k, a, b in slots:
+        if k == NAME:
+            continue
+        at, value, other = last.get((k, a), (-1, b, -1))
+        if value != b:
+            other = at
+        last[k, a] = place, b, other
+        clash[place] = max(clash[place], other)
+    clash = np.maximum.accumulate(clash)
+    begin = np.arange(count)
+    return int((clash[begin + length - 1] < begin).sum())
 
 
 def _hits(items: Items, texts: pa.Array) -> list[dict[int, list[int]]]:

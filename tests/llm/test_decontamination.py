@@ -1,4 +1,6 @@
-"""Decontamination: names wherever and however they are written."""
+"""Decontamination: names wherever and however they are written, slots of numbers and names."""
+
+import random
 
 from telemill.llm import decontamination as D
 
@@ -38,3 +40,40 @@ def test_readings_of_an_opening_word(spark):
     item = "Boston is far from here and the train to Boston takes 4 hours on a good day in the summer."
     text = "Boston is far from here and the train to Paris takes 9 hours on a good day in the summer."
     assert found(spark, [item], [text, text.replace("to Paris", "to home")]) == [[0], [0]]
+
+
+SHOP = ("a box with 3 red pens and 8 blue pens is sold for 5 coins and the buyer takes 5 of them home before the shop "
+        "shuts at 6 so how much is left for all the others who come later")
+
+
+def windows(spark, item, text):
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    return sum(h.template for h in D.matched(docs, bench).first().hits or [])
+
+
+def test_two_numbers_may_become_one(spark):
+    assert found(spark, [SHOP], [SHOP.replace("3", "7").replace("8", "7")]) == [[0]]
+
+
+def test_a_clash_of_numbers_clears_its_windows_only(spark):
+    # 5 coins and 5 of them stand 6 words apart: 7 of the windows hold both
+    item, text = SHOP.split(), SHOP.replace("for 5", "for 9").replace("takes 5", "takes 4").split()
+    clash = [item.index("5"), len(item) - 1 - item[::-1].index("5")]
+    starts = range(len(item) - 12)
+    slots = [{i for i in range(s, s + 13) if item[i].isdigit()} for s in starts]
+    good = [s for s in starts if slots[s] and not set(clash) <= slots[s]]
+    assert windows(spark, SHOP, SHOP) - len(good) == sum(set(clash) <= own for own in slots) > 0
+    assert windows(spark, SHOP, " ".join(text)) == len(good)
+    assert found(spark, [SHOP], [" ".join(text[a:b]) for a, b in [(18, 31), (10, 31), (0, 31), (0, 41)]]) == [[0]] * 4
+    assert found(spark, [SHOP], [" ".join(text[clash[0] - 3:clash[0] + 10])]) == [[]]  # only windows with both
+
+
+def test_numbers_against_each_window(spark):
+    rng = random.Random(5)
+    size, length = 60, 13
+    for _ in range(200):
+        pairs = [(j, rng.choice((D.NUM, D.UNIT)), rng.choice("12"), rng.choice("789")) for j in range(size) if rng.random() < 0.15]
+        plain = sum(len({(k, a) for _, k, a, _ in own}) == len({(k, a, b) for _, k, a, b in own})
+                    for s in range(size - length + 1) for own in [[p for p in pairs if s <= p[0] < s + length]])
+        assert D._steady(pairs, size - length + 1, length) == plain
