@@ -36,8 +36,8 @@ from .common import numbered, query, row_slices, table
 
 WINDOW = 13
 LEAST = 5
-#: Words of a template window that must not be placeholders.
-LITERAL = 6
+#: Words of a template window that must not be placeholders, and of an item shorter than a window.
+LITERAL, SHORT_LITERAL = 6, 5
 BLOCK = 2000
 SLICE = 2 << 20
 
@@ -207,11 +207,11 @@ class Items:
     @staticmethod
     def _seeds(kind: list[int]) -> list[tuple[tuple[int, ...], int]]:
         """Shapes and places of the seeds of a template window; none if it cannot have the literal words."""
-        sure = kind.count(PLAIN)
-        if sure == len(kind) or sure + kind.count(MAYBE) < LEAST:
+        sure, least = kind.count(PLAIN), LITERAL if len(kind) == WINDOW else SHORT_LITERAL
+        if sure == len(kind) or sure + kind.count(MAYBE) < least:
             return []
         triples = [(t, o) for t in TRIPLES for o in range(len(kind) - t[-1])]
-        if sure < LEAST:
+        if sure < least:
             return [(t, o) for t, o in triples if all(kind[o + k] in (PLAIN, MAYBE) for k in t)]
         runs = [(t, o) for t in RUNS for o in range(len(kind) - t[-1]) if all(kind[o + k] not in (NAME, MAYBE) for k in t)]
         able = runs + [(t, o) for t, o in triples if all(kind[o + k] == PLAIN for k in t)]
@@ -267,7 +267,7 @@ class Lookup:
             keep = same | ~inside
             here, there, length, literal, slots = (x[keep] for x in (here, there, length, literal, slots))
         if template:
-            keep = (slots > 0) & (literal >= np.minimum(LITERAL, LEAST))
+            keep = (slots > 0) & (literal >= np.where(length == WINDOW, LITERAL, SHORT_LITERAL))
             here, there, length = here[keep], there[keep], length[keep]
         return np.array([here, there, length], np.int64)
 

@@ -77,3 +77,13 @@ def test_numbers_against_each_window(spark):
         plain = sum(len({(k, a) for _, k, a, _ in own}) == len({(k, a, b) for _, k, a, b in own})
                     for s in range(size - length + 1) for own in [[p for p in pairs if s <= p[0] < s + length]])
         assert D._steady(pairs, size - length + 1, length) == plain
+
+
+def test_literal_words_of_a_window(spark):
+    five = "in 1 2 3 4 5 6 7 8 the row of numbers"
+    six = "in 1 2 3 4 5 6 7 the long row of numbers"
+    assert len(five.split()) == len(six.split()) == D.WINDOW
+    other = [t.translate(str.maketrans("12345678", "87654321")) for t in (five, six)]
+    assert found(spark, [five, six], other) == [[], [1]]
+    # an item shorter than a window: five are enough
+    assert found(spark, ["in 1 2 3 4 the row of numbers"], ["in 9 8 7 6 the row of numbers"]) == [[0]]
