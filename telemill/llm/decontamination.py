@@ -13,8 +13,10 @@ a run of matching windows each name for one name and the other way round.
 An item with fewer words than a window is one window; items with fewer than
 ``LEAST`` words are no evidence and are not searched.
 
-The benchmark is taken in blocks of ``BLOCK`` items; each block is one pass of lookups inside
-the same job, so its size never has to fit a task at once.
+This is no join: documents outnumber benchmark windows by far and are not moved. The benchmark is
+collected in blocks of ``BLOCK`` items, and all blocks go to every Python worker, where a text is
+split into words once and looked up in one block after the other. So the whole benchmark must fit
+the driver and each worker; README gives the memory an item takes.
 
 Edge cases: null or wordless texts match nothing, nor do null benchmark texts. Every row is
 judged by itself, so repeated rows and ids get the same answer. Empty tables give no rows, an
@@ -124,6 +126,7 @@ class Words:
     """Words of some texts: spelled (bare words) and bits, at (index into them), text of each, their marks of ``_word``."""
 
     def __init__(self, texts: pa.Array):
+        self.texts = len(texts)
         split = pc.ascii_split_whitespace(texts)
         bounds = np.asarray(split.offsets)
         coded = split.flatten().dictionary_encode()
@@ -198,14 +201,15 @@ class Items:
             length = min(len(words), WINDOW)
             for begin in range(first, first + len(words) - length + 1 if length >= LEAST else first):
                 self.plain.setdefault(tuple(range(length)), []).append((begin, 0, length))
-                for shape, offset in self._seeds([k for _, k in words[begin - first:begin - first + length]]):
+                for shape, offset in self._seeds(tuple(k for _, k in words[begin - first:begin - first + length])):
                     found.setdefault(shape, []).append((begin, offset, length))
             first += len(words)
         self.plain = {shape: self._table(shape, rows, self.values[self.word]) for shape, rows in self.plain.items()}
         self.found = {shape: self._table(shape, rows, self.values[fixed]) for shape, rows in found.items()}
 
     @staticmethod
-    def _seeds(kind: list[int]) -> list[tuple[tuple[int, ...], int]]:
+    @functools.lru_cache(maxsize=100_000)
+    def _seeds(kind: tuple[int, ...]) -> list[tuple[tuple[int, ...], int]]:
         """Shapes and places of the seeds of a template window; none if it cannot have the literal words."""
         sure, least = kind.count(PLAIN), LITERAL if len(kind) == WINDOW else SHORT_LITERAL
         if sure == len(kind) or sure + kind.count(MAYBE) < least:
@@ -327,10 +331,9 @@ def _steady(slots: list[tuple[int, int, str, str]], count: int, length: int) ->
     return int((clash[begin + length - 1] < begin).sum())
 
 
-def _hits(items: Items, texts: pa.Array) -> list[dict[int, list[int]]]:
+def _hits(items: Items, words: Words) -> list[dict[int, list[int]]]:
     """Per text: item -> [plain windows, template windows]."""
-    words = Words(texts)
-    out: list[dict[int, list[int]]] = [{} for _ in range(len(texts))]
+    out: list[dict[int, list[int]]] = [{} for _ in range(words.texts)]
     if not len(words.at):
         return out
     found = Lookup(items, words)
@@ -373,20 +376,24 @@ def matched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", name:
     columns = docs.columns
     at = columns.index(text_col)
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + f", `{name}` {HITS}"
-    found = docs.withColumn(name, F.lit(None).cast(HITS))
-    for block in _blocks(benchmark, item_id, item_text):
-        def look(batches, items=block):
-            for batch in batches:
-                texts = pc.fill_null(batch.column(at), "")
-                size = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(texts), np.int64))])
-                for lo, hi in row_slices(len(texts), size, SLICE):
-                    before = batch.column(len(columns)).slice(lo, hi - lo).to_pylist()
-                    hits = [(old or []) + [{"item": items.ids[w], "plain": p, "template": t} for w, (p, t) in sorted(own.items())]
-                            for old, own in zip(before, _hits(items, texts.slice(lo, hi - lo)))]
-                    part = batch.slice(lo, hi - lo)
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(hits, kind)], [*columns, name])
-        found = found.mapInArrow(look, schema)
-    return found
+    blocks = _blocks(benchmark, item_id, item_text)
+    if not blocks:
+        return docs.withColumn(name, F.lit(None).cast(HITS))
+
+    def look(batches):
+        for batch in batches:
+            texts = pc.fill_null(batch.column(at), "")
+            size = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(texts), np.int64))])
+            for lo, hi in row_slices(len(texts), size, SLICE):
+                words = Words(texts.slice(lo, hi - lo))
+                hits: list[list[dict]] = [[] for _ in range(hi - lo)]
+                for items in blocks:
+                    for mine, own in zip(hits, _hits(items, words)):
+                        mine += [{"item": items.ids[w], "plain": p, "template": t} for w, (p, t) in sorted(own.items())]
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(hits, kind)], [*columns, name])
+
+    return docs.mapInArrow(look, schema)
 
 
 def filter(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:

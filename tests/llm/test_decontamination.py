@@ -87,3 +87,13 @@ def test_literal_words_of_a_window(spark):
     assert found(spark, [five, six], other) == [[], [1]]
     # an item shorter than a window: five are enough
     assert found(spark, ["in 1 2 3 4 the row of numbers"], ["in 9 8 7 6 the row of numbers"]) == [[0]]
+
+
+def test_blocks_share_one_step(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK", 1)
+    items = [TOM, PAY, SHOP]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+    docs = spark.createDataFrame([(0, f"{SHOP}. {TOM}"), (1, PAY), (2, None)], "doc_id long, text string")
+    out = D.matched(docs, bench)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, [h.item for h in r.hits]) for r in out.collect()) == [(0, [0, 2]), (1, [1]), (2, [])]
