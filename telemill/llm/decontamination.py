@@ -41,7 +41,7 @@ LEAST = 5
 #: Words of a template window that must not be placeholders, and of an item shorter than a window.
 LITERAL, SHORT_LITERAL = 6, 5
 BLOCK = 2000
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 # Spelled numbers and units.
 NUMBERS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred "
@@ -134,10 +134,10 @@ class Words:
         self.spelled = [w for w, _ in known]
         bits = np.array([b for _, b in known], np.uint8)
         filled = np.array([bool(w) for w in self.spelled], bool)
-        at = np.asarray(coded.indices).astype(np.int64)
+        at = np.asarray(coded.indices)
         keep = filled[at]
         self.at = at[keep]
-        self.text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[keep]
+        self.text = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))[keep]
         self.bits = bits[self.at]
 
 
@@ -232,7 +232,7 @@ class Lookup:
 
     def __init__(self, items: Items, words: Words):
         self.items, self.words = items, words
-        known = np.array([items.vocabulary.get(w, -1) for w in words.spelled], np.int64)
+        known = np.array([items.vocabulary.get(w, -1) for w in words.spelled], np.int32)
         self.word = known[words.at]
         number, unit = words.bits & 1 > 0, words.bits & 2 > 0
         self.fits = {NUM: number, UNIT: unit, NAME: words.bits & 16 > 0, MAYBE: words.bits & 16 > 0}
@@ -392,6 +392,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", name:
                         mine += [{"item": items.ids[w], "plain": p, "template": t} for w, (p, t) in sorted(own.items())]
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(hits, kind)], [*columns, name])
+        _word.cache_clear()  # the worker goes on to other stages
 
     return docs.mapInArrow(look, schema)
 
