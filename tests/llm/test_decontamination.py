@@ -1,6 +1,8 @@
 """Decontamination: names wherever and however they are written, slots of numbers and names."""
 
 import random
+import re
+from collections import Counter, defaultdict
 
 from telemill.llm import decontamination as D
 
@@ -97,3 +99,27 @@ def test_blocks_share_one_step(spark, monkeypatch):
     out = D.matched(docs, bench)
     assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     assert sorted((r.doc_id, [h.item for h in r.hits]) for r in out.collect()) == [(0, [0, 2]), (1, [1]), (2, [])]
+
+
+def bare(text):
+    return [w for w in (re.sub(r"[\W_]+", "", raw.lower()) for raw in re.split(r"[ \t-\r]+", text or "")) if w]
+
+
+def test_plain_windows_against_a_loop(spark, sf_dir):
+    docs, bench = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
+    held = defaultdict(Counter)
+    for r in bench.collect():
+        words = bare(r.text)
+        n = min(len(words), D.WINDOW)
+        for i in range(len(words) - n + 1 if n >= D.LEAST else 0):
+            held[tuple(words[i:i + n])][r.item_id] += 1
+    sizes = {len(w) for w in held}
+    want = {}
+    for r in docs.collect():
+        words, own = bare(r.text), Counter()
+        for n in sizes:
+            for i in range(len(words) - n + 1):
+                own.update(held.get(tuple(words[i:i + n]), {}))
+        want[r.doc_id] = dict(own)
+    got = {r.doc_id: {h.item: h.plain for h in r.hits if h.plain} for r in D.matched(docs, bench).collect()}
+    assert got == want and any(want.values())
