@@ -29,6 +29,10 @@ def test_text_in_front(spark):
     fronts = ["Homework 7\n", "Homework 7 ", "(7) ", "Answer this, ", "Start. "]
     assert found(spark, [PAY], [f + other for f in fronts]) == [[0]] * 5
     assert found(spark, [f + PAY for f in fronts], [other]) == [list(range(5))]
+    # thirteen words: the only window holds the opening word
+    short = "What will the farmer pay if Maria sells 40 apples at the market?"
+    other = short.replace("Maria", "Elena").replace("40", "70")
+    assert found(spark, [short], [f + other for f in fronts]) == [[0]] * 5
 
 
 def test_case_of_the_document(spark):
