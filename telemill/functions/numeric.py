@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Sums of readings are kept as decimals: the same digits in whatever order rows
-# arrive, no overflow at any count of rows, and nothing cut off above 1e-12.
-EXACT = "decimal(38, 12)"
+# Sums of readings are kept as whole numbers of 2^-60: the doubles themselves are
+# added, not their decimal notation, and the sum is the same in whatever order rows
+# arrive. Readings beyond 2^42 count in units of 1; the total may reach 8e19.
+EXACT = "decimal(38, 0)"
+_HALF, _LOW = float(2**20), float(2**40)
+_LARGE = float(2**42)
 
 
 def _col(x: Column | str) -> Column:
@@ -41,14 +44,24 @@ def known_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: known(c) for c in floating}) if floating else df
 
 
+def _units(x: Column) -> Column:
+    """A double in units of 2^-60: two whole parts, neither of which rounds."""
+    scaled = x * F.lit(_HALF)
+    high = F.floor(scaled)
+    low = F.floor((scaled - high.cast("double")) * F.lit(_LOW))
+    fine = high.cast("decimal(20, 0)") * F.lit(2**40).cast("decimal(13, 0)") + low.cast("decimal(13, 0)")
+    coarse = x.cast("decimal(20, 0)").cast(EXACT) * F.lit(2**60).cast("decimal(19, 0)")
+    return F.when(F.abs(x) < F.lit(_LARGE), fine.cast(EXACT)).otherwise(coarse.cast(EXACT))
+
+
 def exact_sum(x: Column | str) -> Column:
-    """Exact partial sum, to be combined with ``mean_of``; NaN counts as missing."""
-    return F.sum(known(x).cast(EXACT))
+    """Exact partial sum in units of 2^-60, to be combined with ``mean_of``; NaN counts as missing."""
+    return F.sum(_units(known(x).cast("double")))
 
 
 def mean_of(total: Column | str, n: Column | str) -> Column:
-    """Mean from an exact sum and a non-null count; null on an empty group."""
-    return _col(total).cast("double") / F.nullif(_col(n), F.lit(0)).cast("double")
+    """Mean from an exact sum and a non-null count, rounded like a DOUBLE sum without error; null on an empty group."""
+    return _col(total).cast("double") * F.lit(2.0**-60) / F.nullif(_col(n), F.lit(0)).cast("double")
 
 
 def mean(x: Column | str) -> Column:

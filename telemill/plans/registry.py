@@ -87,7 +87,7 @@ _over("route_topic", _all_messages, job=_kind_counts)
 _over("decode_telemetry", B.messages, job=lambda m: _ntz(M.telemetry_points(M.classified(m)), "time"))
 _over("decode_status", B.status_messages, job=lambda m: _ntz(M.status_points(M.classified(m)), "time"))
 _over("decode_events", B.event_messages, job=lambda m: _ntz(M.event_points(M.classified(m)), "time"))
-_over("dead_letters", B.messages, job=lambda m: M.dead_letters(M.classified(m)))
+_over("dead_letters", _all_messages, job=lambda m: M.dead_letters(M.classified(m)))
 _over("ingest_quality", _all_messages, job=lambda m: M.ingest_quality(M.classified(m)))
 _over("dedup_messages", B.messages,
       job=lambda m: _ntz(M.dedup_messages(M.telemetry_points(M.classified(m))), "time"))

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +53,21 @@ def test_mean_does_not_depend_on_order_or_partitions(spark):
     assert spark.createDataFrame([], "x double").agg(mean("x")).first()[0] is None
 
 
+def test_mean_adds_doubles_and_not_their_decimals(spark):
+    """Where the decimal mean is a rounding tie, the doubles decide as they do in any DOUBLE average."""
+    for values in ([25.4, 9.7], [0.1] * 6, [2.675, 2.685], [1e-9, 3.0], [-25.4, -9.7], [1e15, 1.0, -1e15], [5e12, 2.5]):
+        want = math.fsum(values) / len(values)
+        for order in (values, values[::-1]):
+            df = spark.createDataFrame([(v,) for v in order], "x double").repartition(3)
+            assert df.agg(mean("x")).first()[0] == want, values
+    df = spark.createDataFrame([(25.4,), (9.7,)], "x double")
+    assert df.agg(rnd(mean("x"), 1)).first()[0] == 17.5
+    rng = np.random.default_rng(6)
+    values = [float(v) for v in rng.normal(50, 30, 3000)]
+    got = spark.createDataFrame([(v,) for v in values], "x double").repartition(5).agg(mean("x")).first()[0]
+    assert got == math.fsum(values) / len(values)
+
+
 def test_histogram_closes_last_bin_and_keeps_empty_bins(spark):
     df = spark.createDataFrame([(v,) for v in [0.0, 0.1, 5.0, 9.9, 10.0, None]], "x double")
     got = {r["bin"]: r["n"] for r in histogram(df, "x", 10).collect()}
