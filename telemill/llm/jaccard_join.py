@@ -136,13 +136,13 @@ def listings(posted: DataFrame, percent: int) -> DataFrame:
     """key, n, weight (how common its tokens are), token: what each survivor lists."""
     sizes = posted.select("key", "n", surplus(needed(F.col("n"), percent), percent).alias("least"))
     values = posted.select("key", F.explode("posted").alias("token"))
+    rarest = F.slice("own.token", F.lit(1), (F.size("own") - F.col("least") + 1).cast("int"))
+    weight = F.aggregate("own.held", F.lit(0).cast("long"), lambda total, held: total + held)
     for _ in range(2):  # again, as tokens of documents that left no longer count
-        own = stored(_held(values).join(sizes, "key").filter(F.size("own") >= F.col("least")), "survivors")
-        values = own.select("key", F.explode("own.token").alias("token"))
-    rarest = F.slice("own", F.lit(1), (F.size("own") - F.col("least") + 1).cast("int"))
-    weight = F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + x["held"])
-    listed = own.select("key", "n", weight.alias("weight"), F.explode(F.transform(rarest, lambda x: x["token"])).alias("token"))
-    return stored(listed, "listings")
+        own = _held(values).join(sizes, "key").filter(F.size("own") >= F.col("least"))
+        own = stored(own.select("key", "n", weight.alias("weight"), F.col("own.token").alias("tokens"), rarest.alias("rarest")), "survivors")
+        values = own.select("key", F.explode("tokens").alias("token"))
+    return stored(own.select("key", "n", "weight", F.explode("rarest").alias("token")), "listings")
 
 
 def clusters(listed: DataFrame) -> DataFrame:
@@ -164,14 +164,14 @@ def _places(found: DataFrame, percent: int, tokens: int) -> DataFrame:
     found = found.withColumn("band", _band(F.col("n"), borders(percent, largest)))
     own = found.withColumn("own", F.lit(True))
     above = found.select("cluster", (F.col("band") - 1).alias("band")).distinct()
-    guests = found.join(above, ["cluster", "band"], "left_semi").withColumns({"band": F.col("band") + 1, "own": F.lit(False)})
+    guests = found.join(sized(above), ["cluster", "band"], "left_semi").withColumns({"band": F.col("band") + 1, "own": F.lit(False)})
     both = own.unionByName(guests)
     # a tile's sizes and hub are combined before the shuffle; a tile of one document has nothing to compare
     head = F.max(F.struct(F.col("own"), "weight", (-F.col("key")).alias("least"))).alias("head")
     tiles = both.groupBy("cluster", "band").agg(F.sum("n").alias("tokens"), F.count("*").alias("held"), head).filter("held > 1")
     tiles = tiles.select("cluster", "band", F.ceil(F.col("tokens") / tokens).cast("int").alias("blocks"),
                          (-F.col("head.least")).alias("hub"))
-    return both.join(tiles, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    return both.join(sized(tiles), ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
 
 
 def _bitmaps(sets: list[np.ndarray], size: np.ndarray) -> np.ndarray:
