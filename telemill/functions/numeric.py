@@ -44,7 +44,7 @@ def known_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: known(c) for c in floating}) if floating else df
 
 
-def _units(x: Column) -> Column:
+def units(x: Column) -> Column:
     """A double in units of 2^-60: two whole parts, neither of which rounds."""
     scaled = x * F.lit(_HALF)
     high = F.floor(scaled)
@@ -56,7 +56,7 @@ def _units(x: Column) -> Column:
 
 def exact_sum(x: Column | str) -> Column:
     """Exact partial sum in units of 2^-60, to be combined with ``mean_of``; NaN counts as missing."""
-    return F.sum(_units(known(x).cast("double")))
+    return F.sum(units(known(x).cast("double")))
 
 
 def mean_of(total: Column | str, n: Column | str) -> Column:

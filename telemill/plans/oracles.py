@@ -375,6 +375,9 @@ SELECT {cnt('subscribed')} AS messages_received, {cnt("outcome = 'written'")} AS
 ORACLES["dedup_messages"] = over("tpoints", "SELECT DISTINCT * FROM tpoints")
 ORACLES["write_points"] = ORACLES["dedup_messages"]
 ORACLES["stream_dedup"] = ORACLES["dedup_messages"]
+ORACLES["stream_quality"] = ORACLES["ingest_quality"]
+ORACLES["store_range"] = over("tpoints", """
+SELECT DISTINCT * FROM tpoints WHERE time >= (SELECT MAX(time) FROM tpoints) - INTERVAL 6 HOUR""")
 ORACLES["stream_ingest"] = over("spoints", "SELECT DISTINCT * FROM spoints")
 ORACLES["ingest_messages"] = over("outcome", """
 SELECT CASE WHEN outcome = 'parse_error' THEN 'dead_letter' ELSE kind END AS sink, COUNT(*) AS points

@@ -14,6 +14,7 @@ from ..operators.ordered import range_of
 from ..session import apply_conf, new_folder
 from ..sources import bindings as B, csv_tables as C, messages as M, points as P
 from ..streaming import ingest as S
+from ..streaming.counts import COLUMNS as COUNTS, read_counts
 from . import eda, export, fleet, kpis, machine, report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -413,7 +414,22 @@ def _message_stream(spark: SparkSession, sf_dir: str, binding=B.messages_from) -
 def ingest_messages(spark, sf_dir):
     """All point counts after streaming ingest of every kind of message, by sink."""
     folder = S.run_on_tables(spark, _message_stream(spark, sf_dir, B.all_messages_from), S.ingest, "ingest")
-    return spark.read.parquet(f"{folder}/points").groupBy("sink").agg(F.count(F.lit(1)).alias("points"))
+    brought = S.point_table(spark, folder).brought()
+    return spark.createDataFrame(sorted(brought.items()), "sink string, points long")
+
+
+@query("stream_quality")
+def stream_quality(spark, sf_dir):
+    """Messages received, written and failed, as the listener of the ingest stored them batch by batch."""
+    folder = S.run_on_tables(spark, _message_stream(spark, sf_dir, B.all_messages_from), S.ingest, "quality")
+    return read_counts(spark, folder).agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+@query("store_range")
+def store_range(spark, sf_dir):
+    """Telemetry points of the newest six hours, from the dates of the store that reach into them."""
+    folder = S.run_on_tables(spark, _message_stream(spark, sf_dir), S.ingest, "range")
+    return _ntz(S.read_points(spark, folder, "telemetry", hours=6), "time")
 
 
 @query("write_points")
