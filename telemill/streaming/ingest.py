@@ -35,7 +35,7 @@ SHARDS = 16
 HORIZON = "30 days"
 #: How long an hour stays open for messages that come late.
 HOUR_DELAY = "6 hours"
-#: Slices of a device or hour whose state is kept apart.
+#: Slices of a device whose state is kept apart, so that a busy one is spread; fixed once a checkpoint exists.
 SLICES = 4
 
 
@@ -219,9 +219,9 @@ def read_latest_status(spark: SparkSession, folder: str) -> DataFrame:
     return derive.with_status_classes(status_table(spark, folder).read("latest"))
 
 
-def stream_hourly(messages: DataFrame, folder: str, delay: str = HOUR_DELAY, slices: int = SLICES) -> StreamingQuery:
+def stream_hourly(messages: DataFrame, folder: str, delay: str = HOUR_DELAY) -> StreamingQuery:
     """Hourly sums, without deduplication: closed hours are written once, rows that come after that as corrections."""
-    sums = stateful.hourly(points_of(messages, "telemetry"), units(known("cpu_percent")), units(known("temperature_c")), delay, slices)
+    sums = stateful.hourly(points_of(messages, "telemetry"), units(known("cpu_percent")), units(known("temperature_c")), delay)
     return _run(sums, folder, "append", _append_batches(f"{folder}/out", ["outcome"]))
 
 

@@ -11,7 +11,9 @@ from collections.abc import Iterator
 from decimal import Decimal
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -50,24 +52,33 @@ class KeySeen(StatefulProcessor):
         outcome[frame["digest"].duplicated()] = "repeat"
         outcome[late] = "late"
         fresh = frame[~late]
+        new_group = not self.days.exists()
+        first_day = None
         for day, own in fresh.groupby(fresh["time_us"] // (DAY_MS * 1000)):
             day = int(day)
-            known = self.days.getValue((day,)) if self.days.containsKey((day,)) else None
+            known = None if new_group else self.days.getValue((day,))
             seen = bytes(known[0]) if known else b""
             if seen:
                 old = {seen[i:i + 16] for i in range(0, len(seen), 16)}
                 outcome[own.index[own["digest"].map(lambda d: bytes(d) in old)]] = "repeat"
             else:
-                self.handle.registerTimer((day + 1) * DAY_MS)
+                first_day = day if first_day is None else min(first_day, day)
             new = own["digest"][outcome[own.index] == "first"]
             if len(new):
                 self.days.updateValue((day,), (seen + b"".join(map(bytes, new)),))
+        if first_day is not None:  # a timer for the earliest new day; when it fires it sets the next one
+            self.handle.registerTimer((first_day + 1) * DAY_MS)
         yield frame.drop(columns=["digest", "rank", "part"]).assign(outcome=outcome)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        day = expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 1
-        if self.days.containsKey((day,)):
-            self.days.removeKey((day,))
+        over = timerValues.getCurrentWatermarkInMs() // DAY_MS
+        held = [int(d[0]) for d in self.days.keys()]
+        for day in held:
+            if day < over:
+                self.days.removeKey((day,))
+        left = [d for d in held if d >= over]
+        if left:
+            self.handle.registerTimer((min(left) + 1) * DAY_MS)
         return iter(())
 
     def close(self) -> None:
@@ -112,9 +123,9 @@ class HourSums(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         end = int(key[0]) // 1000 + HOUR_MS
         frame = pd.concat(list(rows), ignore_index=True)
-        cpu, temp = ([int(x) for x in frame[c] if x is not None] for c in ("cpu", "temp"))
         most = frame["cpu_max"].max()
-        now = (len(frame), sum(cpu), len(cpu), sum(temp), len(temp), None if pd.isna(most) else float(most), int(frame["anomaly"].sum()))
+        now = tuple(sum(int(x) for x in frame[c]) for c in SUMS[:5]) + (
+            None if pd.isna(most) else float(most), int(frame["anomalies"].sum()))
         old = self.sums.get() if self.sums.exists() else None
         if old is None and end <= timerValues.getCurrentWatermarkInMs():
             yield self._row(key, _decimals(now), "correction")
@@ -140,17 +151,30 @@ def _decimals(sums: tuple) -> tuple:
     return (sums[0], Decimal(sums[1]), sums[2], Decimal(sums[3]), *sums[4:])
 
 
-def hourly(points: DataFrame, cpu_units, temp_units, delay: str, parts: int) -> DataFrame:
-    """hour_start, sums, outcome: an hour once when it closes, and corrections for rows after that.
+def _parts(batches):
+    """Sums of each hour in one task's rows, so that a busy hour sends a row per task and not one per message."""
+    for batch in batches:
+        if batch.num_rows:
+            out = pa.Table.from_batches([batch]).group_by("hour_us").aggregate(
+                [("clock", "max"), ("cpu", "count"), ("cpu", "sum"), ("temp", "count"), ("temp", "sum"), ("cpu_max", "max"),
+                 ("anomaly", "sum"), ("one", "sum")])
+            whole = pa.decimal128(38, 0)
+            yield from pa.table({
+                "hour_us": out["hour_us"], "clock": out["clock_max"], "readings": out["one_sum"].cast(pa.int64()),
+                "cpu": pc.fill_null(out["cpu_sum"].cast(whole), 0), "cpu_n": out["cpu_count"],
+                "temp": pc.fill_null(out["temp_sum"].cast(whole), 0), "temp_n": out["temp_count"],
+                "cpu_max": out["cpu_max_max"], "anomalies": out["anomaly_sum"].cast(pa.int64())}).to_batches()
 
-    ``parts`` slices of an hour are summed apart, so that one busy hour is spread.
-    """
+
+def hourly(points: DataFrame, cpu_units: Column, temp_units: Column, delay: str) -> DataFrame:
+    """hour_start, sums, outcome: an hour once when it closes, and corrections for rows after that."""
     use_rocksdb(points.sparkSession)
     narrow = points.select(
-        "time", F.unix_micros(F.date_trunc("hour", "time")).alias("hour_us"),
-        F.pmod(F.xxhash64("device_id", "time"), F.lit(parts)).cast("int").alias("part"), cpu_units.alias("cpu"),
-        temp_units.alias("temp"), F.col("cpu_percent").alias("cpu_max"), (F.col("anomaly") == "True").alias("anomaly"))
-    told = _clocked(narrow, "time", delay).groupBy("hour_us", "part").transformWithStateInPandas(
+        F.unix_micros(F.date_trunc("hour", "time")).alias("hour_us"), F.col("time").alias("clock"),
+        cpu_units.alias("cpu"), temp_units.alias("temp"), F.col("cpu_percent").alias("cpu_max"),
+        (F.col("anomaly") == "True").cast("int").alias("anomaly"), F.lit(1).alias("one"))
+    parts = narrow.mapInArrow(_parts, f"hour_us long, clock timestamp, {SUMS_SCHEMA}")
+    told = _clocked(parts, "clock", delay).drop("time_us").groupBy("hour_us").transformWithStateInPandas(
         HourSums(), f"hour_us long, {SUMS_SCHEMA}, outcome string", "append", "eventTime")
     return told.select(F.timestamp_micros("hour_us").alias("hour_start"), *SUMS, "outcome")
 
