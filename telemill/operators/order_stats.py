@@ -10,7 +10,13 @@ from .joins import sized
 # Counted quantiles sort one row per distinct value of a group in one task.
 # Readings of fixed resolution stay far below this; other columns are refined.
 DISTINCT_LIMIT = 1_000_000
-BUCKETS = 4096
+# Buckets of about equal counts: their borders are quantiles of a mergeable sketch, so
+# outliers and gaps leave them even. Borders only balance tasks, they decide no result.
+BUCKETS = 512
+BORDER_PROBS = [i / BUCKETS for i in range(1, BUCKETS)]
+SKETCH = 10 * BUCKETS
+# Border arrays of so many groups at most are sent to all tasks (4 kB a group).
+BROADCAST_GROUPS = 10_000
 
 # How a quantile between two readings is computed. All are linear; they differ
 # in the last bit, which decides ties when the result is rounded or compared.
@@ -21,39 +27,50 @@ RULES = {
 }
 
 
-def select_ranks(df: DataFrame, value: str, ranks: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def _bucket(value: Column, borders: Column) -> Column:
+    """How many of ``BUCKETS`` - 1 sorted borders a value reaches, by halving."""
+    steps = [BUCKETS >> i for i in range(1, BUCKETS.bit_length())]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, s: F.when(F.get(borders, at + s - 1) <= value, at + s).otherwise(at))
+
+
+def _borders(value: str) -> Column:
+    return F.percentile_approx(value, BORDER_PROBS, SKETCH)
+
+
+def select_ranks(df: DataFrame, value: str, ranks: DataFrame, keys: list[str] | None = None,
+                 weight: str | None = None) -> DataFrame:
     """The values at given 0-based ranks within each group, nulls left out.
 
-    ``ranks`` holds ``keys`` and a BIGINT ``rank``. Returns it with ``value`` and
-    ``below``, the number of smaller values. Two counting passes: equal-width
-    buckets between a group's extremes first, then only the buckets that hold a
-    wanted rank. Both counts combine before the shuffle, so a hot group or a
-    hot value costs no more than any other.
+    ``ranks`` holds ``keys`` and a BIGINT ``rank``; with ``weight`` a row stands for so many equal ones. Returns
+    ranks with ``value`` and ``below``, the number of smaller values. A sketch cuts each group at borders of
+    about equal counts; two counting passes follow, over all buckets first, then only over those that hold a
+    wanted rank. All three combine before the shuffle, so a hot group or a hot value costs no more than any
+    other, and an outlier does not crowd the rest into one bucket.
     """
     keys = keys or []
-    rows = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    n = F.sum("_w") if weight else F.count(F.lit(1))
+    rows = df.select(*keys, F.col(value).alias("_v"), *([F.col(weight).alias("_w")] if weight else [])).filter(
+        F.col("_v").isNotNull())
     if not keys:
         rows, ranks = rows.withColumn("_g", F.lit(0)), ranks.withColumn("_g", F.lit(0))
         keys = ["_g"]
-    bounds = rows.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    bounds = sized(bounds.join(ranks.select(*keys).distinct(), keys, "left_semi"))
-    span = (F.col("_hi") - F.col("_lo")).cast("double")
-    bucket = F.when(span == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_v") - F.col("_lo")) * F.lit(float(BUCKETS)) / F.nullif(span, F.lit(0.0))),
-                F.lit(BUCKETS - 1))).cast("int")
-    bucketed = rows.join(bounds, keys).withColumn("_b", bucket).drop("_lo", "_hi")
+    asked = ranks.select(*keys).distinct()
+    bounds = sized(rows.groupBy(*keys).agg(_borders("_v").alias("_at")).join(asked, keys, "left_semi"), BROADCAST_GROUPS)
+    bucketed = rows.join(bounds, keys).withColumn("_b", _bucket(F.col("_v"), F.col("_at"))).drop("_at")
 
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = bucketed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    counts = bucketed.groupBy(*keys, "_b").agg(n.alias("_n"))
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     wanted = sized(
         counts.join(ranks, keys)
         .filter((F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("_n")))
         .drop("_n"))
 
-    inside = bucketed.join(wanted.select(*keys, "_b"), [*keys, "_b"], "left_semi")
+    inside = bucketed.join(wanted.select(*keys, "_b").distinct(), [*keys, "_b"], "left_semi")
     smaller = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    values = inside.groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    values = inside.groupBy(*keys, "_b", "_v").agg(n.alias("_n"))
     values = values.withColumn("_smaller", F.coalesce(F.sum("_n").over(smaller), F.lit(0)))
     at = F.col("rank") - F.col("_before")
     hit = values.join(wanted, [*keys, "_b"]).filter(
@@ -63,13 +80,14 @@ def select_ranks(df: DataFrame, value: str, ranks: DataFrame, keys: list[str] |
         (F.col("_before") + F.col("_smaller")).alias("below"))
 
 
-def _refined(df: DataFrame, keys: list[str], column: str, probs: list[float], rule: str) -> DataFrame:
+def _refined(df: DataFrame, keys: list[str], column: str, probs: list[float], rule: str, weight: str | None) -> DataFrame:
     """Linearly interpolated quantiles of one column through ``select_ranks``."""
-    sizes = df.groupBy(*keys).agg(F.count(column).alias("_n")).filter("_n > 0")
+    n = F.sum(F.when(F.col(column).isNotNull(), F.col(weight))) if weight else F.count(column)
+    sizes = df.groupBy(*keys).agg(n.alias("_n")).filter("_n > 0")
     at = sizes.withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     at = checkpointed(at.withColumn("_at", F.col("_p") * (F.col("_n") - 1)))
     ranks = at.select(*keys, F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("rank")).distinct()
-    found = checkpointed(select_ranks(df, column, ranks, keys).select(*keys, "rank", "value"))
+    found = checkpointed(select_ranks(df, column, ranks, keys, weight).select(*keys, "rank", "value"))
     on = [*keys, "rank"]
     low = at.withColumn("rank", F.floor("_at")).join(found, on).withColumnRenamed("value", "_a").drop("rank")
     both = low.withColumn("rank", F.ceil("_at")).join(found, on)
@@ -114,18 +132,17 @@ def grouped_quantiles(df: DataFrame, keys: list[str], columns: list[str], probs:
     group holds more than ``max_distinct`` rows, a sketch of its distinct values
     decides for each column between counting values and the refinement above,
     which never sorts a group in one task. ``weight`` names a column of row
-    multiplicities (counted columns only). ``keys`` must not be null; a group
-    without any value is left out.
+    multiplicities. ``keys`` must not be null; a group without any value is left out.
     """
     small = columns
-    if not weight and (df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > max_distinct:
+    if (df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > max_distinct:
         sketch = df.groupBy(*keys).agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns])
         most = sketch.agg(*[F.max(c).alias(c) for c in columns]).first()
         small = [c for c in columns if most[c] <= max_distinct]
     out = _counted(df, keys, small, probs, rule, weight) if small else None
     for c in columns:
         if c not in small:
-            refined = _refined(df, keys, c, probs, rule)
+            refined = _refined(df, keys, c, probs, rule, weight)
             out = refined if out is None else out.join(refined, keys, "full")
     return out.select(*keys, *[x for c in columns for x in (f"{c}_q", f"{c}_n")])
 
@@ -138,19 +155,16 @@ def quantile_row(df: DataFrame, columns: list[str], probs: list[float],
     return {c: list(row[f"{c}_q"]) if row and row[f"{c}_q"] is not None else None for c in columns}
 
 
-def pick_ranks(df: DataFrame, value: str, wanted: dict, span: tuple, key: str | None = None) -> dict:
+def pick_ranks(df: DataFrame, value: str, wanted: dict, borders: list, key: str | None = None) -> dict:
     """Values at 0-based ranks of a few groups: ``{(group, rank): (value, smaller values)}``.
 
     Like ``select_ranks`` for groups and ranks known on the driver, which sees
-    at most ``BUCKETS`` counts per group and one row per rank. ``span`` holds the
-    extremes of the column.
+    at most ``BUCKETS`` counts per group and one row per rank. ``borders`` are quantiles of the column.
     """
     group = F.col(key) if key else F.lit(0)
     rows = df.select(group.alias("_g"), F.col(value).alias("_v")).filter(
         F.col("_v").isNotNull() & F.col("_g").isin(list(wanted)))
-    lo, hi = span
-    at = F.floor((F.col("_v") - F.lit(lo)) * F.lit(BUCKETS / (hi - lo))) if hi > lo else F.lit(0)
-    bucketed = rows.withColumn("_b", F.least(at, F.lit(BUCKETS - 1)).cast("int"))
+    bucketed = rows.withColumn("_b", _bucket(F.col("_v"), F.array(*[F.lit(b) for b in borders])))
     before: dict = {}
     hits = []
     for g, b, n in sorted(bucketed.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("n")).collect()):
@@ -184,8 +198,7 @@ def tile_cutoffs(df: DataFrame, value: str, tie: str, tiles: int) -> list[tuple]
     must tell rows of equal ``value`` apart. Values hold the ends first; the rows
     of those few values are then looked at along ``tie``.
     """
-    n, known, lo, hi, first, last = df.agg(
-        F.count(F.lit(1)), F.count(value), F.min(value), F.max(value), F.min(tie), F.max(tie)).first()
+    n, known, by_value, by_tie = df.agg(F.count(F.lit(1)), F.count(value), _borders(value), _borders(tie)).first()
     base, extra = divmod(n, tiles)
     ends = sorted({(i + 1) * base + min(i + 1, extra) - 1 for i in range(tiles - 1)})
     ends = [e for e in ends if 0 <= e < n - 1]
@@ -193,12 +206,12 @@ def tile_cutoffs(df: DataFrame, value: str, tie: str, tiles: int) -> list[tuple]
     cutoffs = []
     if among_values:
         within: dict = {}
-        for (_, rank), (v, below) in pick_ranks(df, value, {0: among_values}, (lo, hi)).items():
+        for (_, rank), (v, below) in pick_ranks(df, value, {0: among_values}, by_value).items():
             within.setdefault(v, []).append(rank - below)
-        cutoffs = sorted((v, t) for (v, _), (t, _) in pick_ranks(df, tie, within, (first, last), value).items())
+        cutoffs = sorted((v, t) for (v, _), (t, _) in pick_ranks(df, tie, within, by_tie, value).items())
     if among_nulls:
         blank = df.filter(F.col(value).isNull())
-        cutoffs += [(None, t) for t, _ in sorted(pick_ranks(blank, tie, {0: among_nulls}, (first, last)).values())]
+        cutoffs += [(None, t) for t, _ in sorted(pick_ranks(blank, tie, {0: among_nulls}, by_tie).values())]
     return cutoffs
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
+from telemill.operators import order_stats as O
 from telemill.operators.order_stats import grouped_quantiles, quantile_row, select_ranks, tile_cutoffs, tile_of
 
 
@@ -37,6 +38,29 @@ def test_whole_column_and_weights(spark):
     assert got == {"a": 1.0, "b": 3.0}
 
 
+def test_outliers_and_gaps_leave_buckets_even(spark):
+    """Borders of equal counts: with equal widths all but one reading would share a bucket."""
+    values = [float(i) / 7 for i in range(20_000)] + [1e12, -1e15] + [5e5 + i for i in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
+    borders = df.agg(O._borders("x")).first()[0]
+    sizes = [r["count"] for r in df.groupBy(O._bucket(F.col("x"), F.array(*[F.lit(b) for b in borders])).alias("b")).count().collect()]
+    assert len(sizes) > 0.9 * O.BUCKETS and max(sizes) <= 2 * len(values) / O.BUCKETS
+    ranks = spark.createDataFrame([(0,), (20_000,), (40_001,)], "rank bigint")
+    got = {r["rank"]: r["value"] for r in select_ranks(df, "x", ranks).collect()}
+    assert got == {r: sorted(values)[r] for r in got} and len(got) == 3
+
+
+@pytest.mark.parametrize("limit", [10**6, 5])
+def test_weighted_quantiles_are_refined_too(spark, limit):
+    rnd = random.Random(4)
+    rows = [(rnd.choice("ab"), rnd.choice([None, *[round(rnd.gauss(0, 9), 3) for _ in range(30)]]), rnd.choice([1, 1, 2, 50])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k string, x double, w bigint").repartition(3)
+    got = {r["k"]: r for r in grouped_quantiles(df, ["k"], ["x"], [0.1, 0.5], max_distinct=limit, weight="w").collect()}
+    for k in "ab":
+        values = [x for key, x, w in rows if key == k and x is not None for _ in range(w)]
+        assert list(got[k]["x_q"]) == [float(np.quantile(values, p)) for p in (0.1, 0.5)] and got[k]["x_n"] == len(values)
+
+
 def test_ranks_of_groups(spark):
     data, df = frame(spark, 2)
     wanted = [(k, r) for k in ("hot", "d1", "same") for r in (0, 1)]
