@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Sums of readings are kept as whole numbers of 2^-60: the doubles themselves are
@@ -54,6 +55,18 @@ def units(x: Column) -> Column:
     return F.when(F.abs(x) < F.lit(_LARGE), fine.cast(EXACT)).otherwise(coarse.cast(EXACT))
 
 
+def exact_total(values: np.ndarray) -> int:
+    """Sum of finite doubles in units of 2^-60, each cut there as in ``units`` and added without rounding."""
+    near = np.abs(values) < _LARGE
+    scaled = values[near] * _HALF
+    high = np.floor(scaled)
+    low = np.floor((scaled - high) * _LOW).astype(np.int64)
+    high = high.astype(np.int64)
+    whole = (int((high >> 32).sum()) << 32) + int((high & 0xFFFFFFFF).sum())
+    return (whole << 40) + (int((low >> 32).sum()) << 32) + int((low & 0xFFFFFFFF).sum()) + sum(
+        round(v) << 60 for v in values[~near].tolist())
+
+
 def exact_sum(x: Column | str) -> Column:
     """Exact partial sum in units of 2^-60, to be combined with ``mean_of``; NaN counts as missing."""
     return F.sum(units(known(x).cast("double")))

@@ -1,4 +1,9 @@
-"""Isolation forest per device: bounded training samples, scoring spread over rows."""
+"""Isolation forest per device: a sample of its own for every tree, scoring spread over rows.
+
+Tree t of a device takes the ``SAMPLE`` complete rows with the smallest hash of (row, t), whatever the number of
+rows; every row can be in any tree. Of a large device only rows whose hash for some tree lies under a
+threshold leave their task, about ``DRAWN`` per tree, and the exact cut follows where the trees are grown.
+"""
 
 from __future__ import annotations
 
@@ -8,15 +13,15 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.numeric import known_numbers
 from ..session import checkpointed, written
 
 TREES = 100
 SAMPLE = 256
-# Rows that all trees of a device draw together: every tree can have its own.
-POOL = TREES * SAMPLE
+# Rows expected under a tree's threshold. That fewer than SAMPLE are found has a chance below 1e-15.
+DRAWN = SAMPLE + 10 * 16
 SEED = 42
 MIN_ROWS = 20
 ROWS_PER_TASK = 100_000
@@ -33,18 +38,16 @@ def average_path(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, path, np.where(n == 2, 1.0, 0.0))
 
 
-def grow_forest(x: np.ndarray, rng: np.random.Generator, trees: int = TREES, sample: int = SAMPLE):
-    """Grow all trees together, one level at a time.
+def grow_forest(samples: np.ndarray, rng: np.random.Generator):
+    """Grow all trees together, one level at a time, each from its own sample (trees x rows x features).
 
     Node k has children 2k+1 and 2k+2. Returns per tree and node the split
     feature (-1 in a leaf), the split value and the path length of a leaf.
     """
-    rows, features = x.shape
-    size = min(sample, rows)
+    trees, size, features = samples.shape
     depth = max(1, math.ceil(math.log2(max(size, 2))))
     nodes = 2 ** (depth + 1) - 1
-    picks = np.argsort(rng.random((trees, rows)), axis=1)[:, :size]
-    data = x[picks].reshape(trees * size, features)
+    data = samples.reshape(trees * size, features)
     tree = np.repeat(np.arange(trees), size)
     node = np.zeros(trees * size, dtype="int64")
     feature = np.full((trees, nodes), -1, dtype="int8")
@@ -101,16 +104,32 @@ def score_rows(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, path: np.nda
     return np.power(2.0, -(total / trees) / expected)
 
 
-def _sample(x: np.ndarray, hashes: np.ndarray, pool: int) -> np.ndarray:
-    """The complete rows with the smallest hashes, in that order."""
-    order = np.lexsort((*x.T[::-1], hashes))
-    return x[order[:pool]]
+def tree_hash(hashes: np.ndarray, tree: int) -> np.ndarray:
+    """A hash of row and tree from the row's own (splitmix64)."""
+    x = hashes.view(np.uint64) + np.uint64((tree + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def smallest(x: np.ndarray, hashes: np.ndarray, size: int) -> np.ndarray:
+    """The ``size`` rows of the smallest hashes in order; rows with one hash (repeated ids) go by their features."""
+    near = np.arange(len(x))
+    if len(x) > size:
+        near = np.flatnonzero(hashes <= np.partition(hashes, size - 1)[size - 1])
+    return x[near[np.lexsort((*x[near].T[::-1], hashes[near]))[:size]]]
+
+
+def tree_samples(x: np.ndarray, hashes: np.ndarray, trees: int = TREES, sample: int = SAMPLE) -> np.ndarray:
+    """Samples of all trees (trees x rows x features) out of all rows of a device."""
+    size = min(sample, len(x))
+    return np.stack([smallest(x, tree_hash(hashes, t), size) for t in range(trees)])
 
 
-def _forest(device, x: np.ndarray, seed: int):
+def _forest(device, samples: np.ndarray, seed: int):
     """Trees of one device. Shifting and scaling a feature leave uniform splits
     unchanged, so the readings are used as they are."""
-    return grow_forest(x, np.random.default_rng([seed, zlib.crc32(str(device).encode())]))
+    return grow_forest(samples, np.random.default_rng([seed, zlib.crc32(str(device).encode())]))
 
 
 def _matrix(rows: pa.Table, features: list[str]) -> np.ndarray:
@@ -125,13 +144,34 @@ def _with_scores(rows: pa.Table, x: np.ndarray, forest) -> pa.Table:
     return rows.append_column("iforest_score", pa.array(out, pa.float64(), mask=~whole))
 
 
-def _train(key: str, features: list[str], seed: int, pool: int):
+def _draw(key: str, features: list[str]):
+    """(key, tree, hash, features) of the rows under a tree's threshold; a device's ``_whole`` complete rows set it."""
+    def draw(batches):
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            hashes = rows.column("_hash").to_numpy()
+            whole = rows.column("_whole").to_numpy().astype("float64")
+            limit = np.minimum(DRAWN / np.maximum(whole, 1.0), 1.0) * (2.0**64 - 2.0**12)
+            for t in range(TREES):
+                own = tree_hash(hashes, t)
+                at = pa.array(np.flatnonzero(own <= limit.astype(np.uint64)))
+                if len(at):
+                    part = rows.take(at).select([key, *features])
+                    part = part.append_column("_tree", pa.array([t] * len(at), pa.int32()))
+                    yield from part.append_column("_own", pa.array(own.view(np.int64)[at.to_numpy()])).to_batches()
+    return draw
+
+
+def _train(key: str, features: list[str], seed: int):
+    """Exact samples out of what was drawn, then the trees of one device."""
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = _sample(pdf[features].to_numpy(dtype="float64"), pdf["_hash"].to_numpy(), pool)
-        feature, cut, path, size = _forest(pdf[key].iloc[0], x, seed)
+        cut = [smallest(own[features].to_numpy(dtype="float64"), own["_own"].to_numpy().view(np.uint64), SAMPLE)
+               for _, own in pdf.groupby("_tree", sort=True)]
+        rows = min(map(len, cut))
+        feature, cuts, path, size = _forest(pdf[key].iloc[0], np.stack([c[:rows] for c in cut]), seed)
         return pd.DataFrame({
             key: [pdf[key].iloc[0]], "_trees": [feature.shape[0]], "_size": [size], "_feature": [feature.tobytes()],
-            "_cut": [cut.tobytes()], "_path": [path.tobytes()]})
+            "_cut": [cuts.tobytes()], "_path": [path.tobytes()]})
     return train
 
 
@@ -147,7 +187,7 @@ def _score(features: list[str]):
     return score
 
 
-def _train_and_score(key: str, features: list[str], seed: int, pool: int):
+def _train_and_score(key: str, features: list[str], seed: int):
     """Everything for one device of bounded size."""
     def run(rows: pa.Table) -> pa.Table:
         x = _matrix(rows, features)
@@ -156,19 +196,18 @@ def _train_and_score(key: str, features: list[str], seed: int, pool: int):
         whole = ~np.isnan(x).any(axis=1)
         if whole.sum() < MIN_ROWS:
             return rows.append_column("iforest_score", pa.array(np.zeros(len(x)), pa.float64()))
-        return _with_scores(rows, x, _forest(rows.column(key)[0].as_py(), _sample(x[whole], hashes[whole], pool), seed))
+        return _with_scores(rows, x, _forest(rows.column(key)[0].as_py(), tree_samples(x[whole], hashes[whole]), seed))
     return run
 
 
 def isolation_scores(df: DataFrame, key: str, row_id: str, features: list[str], seed: int = SEED,
-                     pool: int = POOL, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Add ``iforest_score`` (higher is odder) to every row.
 
     Groups with fewer than 20 complete rows score 0; rows with a null feature in
-    other groups score null. A uniform sample of at most ``pool`` rows per group,
-    the smallest row hashes, feeds the trees: as many rows as all trees draw. Groups of up to ``rows_per_task``
-    rows are trained and scored in one go. Larger ones are trained on their
-    sample alone and scored in salted parts, each with a copy of the model; both
+    other groups score null. Every tree has a uniform sample of its own out of all complete rows. Groups of up to
+    ``rows_per_task`` rows are trained and scored in one go. Larger ones are trained on what
+    was drawn for their trees and scored in salted parts, each with a copy of the model; both
     ways give the same scores.
     """
     df = known_numbers(df, features)  # one rule for both ways: a null or NaN feature makes a row incomplete
@@ -186,22 +225,21 @@ def isolation_scores(df: DataFrame, key: str, row_id: str, features: list[str],
     tasks = max(shuffle, math.ceil(total / rows_per_task))
     if large.isEmpty():
         spread = hashed.repartition(tasks, key)
-        return written(spread.groupBy(key).applyInArrow(_train_and_score(key, features, seed, pool), out), "scores")
+        return written(spread.groupBy(key).applyInArrow(_train_and_score(key, features, seed), out), "scores")
 
     # at most total/rows_per_task groups are large, so that list is safe to broadcast
     large = F.broadcast(large)
     small_rows = hashed.join(large.select(key), key, "left_anti").repartition(tasks, key)
-    small_scored = small_rows.groupBy(key).applyInArrow(_train_and_score(key, features, seed, pool), out)
+    small_scored = small_rows.groupBy(key).applyInArrow(_train_and_score(key, features, seed), out)
 
-    # The share leaves a little more than the pool of a large group; the exact cut follows.
     big_rows = hashed.join(large, key)
-    share = F.lit(1.2 * pool) / F.greatest(F.col("_whole"), F.lit(1))
-    uniform = (F.col("_hash").cast("double") + F.lit(float(2**63))) / F.lit(float(2**64))
-    drawn = big_rows.filter(whole & (F.col("_whole") >= MIN_ROWS) & (uniform < share))
-    nth = F.row_number().over(Window.partitionBy(key).orderBy("_hash", *features))
-    sample = drawn.withColumn("_nth", nth).filter(F.col("_nth") <= pool).select(key, "_hash", *features)
-    model = f"{key} {df.schema[key].dataType.simpleString()}, _trees int, _size int, _feature binary, _cut binary, _path binary"
-    models = sample.groupBy(key).applyInPandas(_train(key, features, seed, pool), model)
+    kind = df.schema[key].dataType.simpleString()
+    wide = ", ".join(f"`{f}` double" for f in features)
+    complete = big_rows.filter(whole & (F.col("_whole") >= MIN_ROWS)).select(
+        key, *[F.col(f).cast("double").alias(f) for f in features], "_hash", "_whole")
+    drawn = complete.mapInArrow(_draw(key, features), f"{key} {kind}, {wide}, _tree int, _own long")
+    model = f"{key} {kind}, _trees int, _size int, _feature binary, _cut binary, _path binary"
+    models = drawn.groupBy(key).applyInPandas(_train(key, features, seed), model)
 
     parts = F.ceil(F.col("_rows") / F.lit(float(rows_per_task)))
     part = F.pmod(F.xxhash64(F.lit("part"), F.col(row_id)), parts)

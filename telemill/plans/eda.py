@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.histogram import histogram, histograms
-from ..functions.numeric import count_true, pct, rnd, rnd_even
+from ..functions.numeric import count_true, exact_total, known, mean, mean_of, pct, rnd, rnd_even
 from ..operators import cleaning
 from ..operators.order_stats import quantile_row
 from ..session import checkpointed, written
@@ -128,19 +131,49 @@ def air_histogram(deduplicated: DataFrame, bins: int = AIR_BINS) -> DataFrame:
     return histogram(deduplicated, "air_temp_k", bins).select("bin", "bin_lo", "bin_hi", "n")
 
 
+MOMENTS = ["x", "y", "xx", "yy", "xy"]
+
+
+def co_moments(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """a, b, n and exact sums of x, y, xx, yy, xy (units of 2^-60) over the rows where both columns are known.
+
+    Each task adds up its own rows, so that a pair sends a row per batch and task, whatever their number.
+    """
+    pairs = [*combinations(range(len(columns)), 2), *[(i, i) for i in range(len(columns))]]
+
+    def run(batches):
+        for batch in batches:
+            values = [np.asarray(batch.column(i).fill_null(float("nan"))) for i in range(len(columns))]
+            out = {k: [] for k in ("a", "b", "n", *MOMENTS)}
+            for i, j in pairs:
+                both = ~(np.isnan(values[i]) | np.isnan(values[j]))
+                x, y = values[i][both], values[j][both]
+                for k, v in zip(("a", "b", "n", *MOMENTS), (columns[i], columns[j], len(x), *[
+                        Decimal(exact_total(p)) for p in (x, y, x * x, y * y, x * y)])):
+                    out[k].append(v)
+            yield pa.RecordBatch.from_pydict(out, schema)
+
+    whole = pa.decimal128(38, 0)
+    schema = pa.schema([("a", pa.string()), ("b", pa.string()), ("n", pa.int64()), *[(m, whole) for m in MOMENTS]])
+    parts = rows.select(*columns).mapInArrow(run, "a string, b string, n long, " + ", ".join(f"{m} decimal(38,0)" for m in MOMENTS))
+    return parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", *MOMENTS)])
+
+
 def correlation_matrix(machines: DataFrame, columns: list[str] = CORRELATED) -> DataFrame:
-    """Pairwise Pearson correlations, one aggregate for all pairs, full matrix as rows."""
+    """Pairwise Pearson correlations, full matrix as rows.
+
+    Readings are centred at the exact means and their products added up exactly, so the order and number of
+    partitions change no bit. A pair counts the rows where both are known; null where one of them does not vary.
+    """
     wide = machines.select(*[F.col(c).cast("boolean").cast("double").alias(c) if c == "machine_failure"
-                             else F.col(c).cast("double").alias(c) for c in columns])
-    pairs = list(combinations(columns, 2))
-    one = wide.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs],
-                   *[F.corr(a, a).alias(f"{a}__{a}") for a in columns])
-    cells = []
-    for a in columns:
-        for b in columns:
-            name = f"{a}__{b}" if a == b or (a, b) in pairs else f"{b}__{a}"
-            cells.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), rnd(name, 9).alias("r")))
-    return one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+                             else known(F.col(c).cast("double")).alias(c) for c in columns])
+    centre = wide.agg(*[mean(c).alias(c) for c in columns]).first()
+    sums = co_moments(wide.select(*[(F.col(c) - F.lit(centre[c] or 0.0)).alias(c) for c in columns]), columns)
+    mx, my, mxx, myy, mxy = (mean_of(m, "n") for m in MOMENTS)
+    r = (mxy - mx * my) / F.nullif(F.sqrt((mxx - mx * mx) * (myy - my * my)), F.lit(0.0))
+    found = sums.select("a", "b", rnd(r, 9).alias("r"))
+    other = found.filter("a != b").select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
+    return found.unionByName(other).select(F.col("a").alias("x"), F.col("b").alias("y"), "r")
 
 
 def power_vs_dt_points(machines: DataFrame) -> DataFrame:

@@ -80,8 +80,38 @@ def test_forest_is_the_same_at_any_partitioning_and_for_large_groups(spark):
     assert scores(df.repartition(7)) == base
     # 100 rows per task: a and b are trained apart and scored in salted parts
     assert scores(df.repartition(3), rows_per_task=100) == base
-    # a pool smaller than the group bounds the sample in both ways
-    assert scores(df, pool=64) == scores(df, pool=64, rows_per_task=100)
+
+
+def test_forest_of_a_device_with_more_rows_than_its_trees_draw(spark):
+    """3000 rows: most of the drawn ones are cut again, and repeated row ids share a hash."""
+    rnd = np.random.default_rng(11)
+    rows = [(int(i % 2900), "hot", float(x)) for i, x in enumerate(rnd.normal(50, 5, 3000))] + [(9999, "hot", 500.0)]
+    df = spark.createDataFrame(rows, "id bigint, device_id string, x double")
+    ways = [sorted(tuple(r) for r in iforest.isolation_scores(part, "device_id", "id", ["x"], **o).select("id", "x", "iforest_score").collect())
+            for part, o in ((df.repartition(5), {}), (df.repartition(2), {"rows_per_task": 700}), (df.repartition(7), {"rows_per_task": 100}))]
+    assert ways[0] == ways[1] == ways[2]
+    assert max(ways[0], key=lambda r: r[2])[1] == 500.0  # the planted row
+
+
+def test_samples_equal_a_plain_sampler():
+    """Every tree takes the rows of its smallest hashes out of all rows, computed one by one."""
+    rnd = np.random.default_rng(12)
+    x = rnd.normal(size=(1000, 2))
+    hashes = rnd.integers(-2**63, 2**63, 1000)
+    mask = 2**64 - 1
+
+    def plain(h, t):
+        v = (int(h) + (t + 1) * 0x9E3779B97F4A7C15) & mask
+        v = ((v ^ (v >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        v = ((v ^ (v >> 27)) * 0x94D049BB133111EB) & mask
+        return v ^ (v >> 31)
+    got = iforest.tree_samples(x, hashes)
+    assert got.shape == (100, 256, 2)
+    for t in (0, 1, 50, 99):
+        order = sorted(range(1000), key=lambda i: plain(hashes[i], t))[:256]
+        assert (got[t] == x[order]).all()
+    used = {tuple(r) for r in got.reshape(-1, 2).tolist()}
+    assert len(used) == 1000  # no row is left to no tree
 
 
 def test_consensus_needs_two(spark):

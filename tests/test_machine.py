@@ -1,7 +1,8 @@
+import numpy as np
 import published as P
 from pyspark.sql import functions as F
 
-from telemill.plans import machine
+from telemill.plans import eda, machine
 from telemill.sources import bindings as B
 
 
@@ -40,3 +41,18 @@ def test_equal_scores_stay_spread(spark, sf_dir):
     assert "WindowGroupLimit" not in plan
     for line in plan.splitlines():
         assert "SinglePartition" not in line or "product_id" not in line
+
+
+def test_correlations_have_the_same_bits_at_any_partitioning(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(300, 2, 4000)
+    rows = [(float(a), float(3 * a + b), None if i % 7 == 0 else float(b), 1.0) for i, (a, b) in enumerate(zip(x, rng.normal(0, 1, 4000)))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    ways = [sorted(map(tuple, eda.co_moments(part, ["a", "b", "c"]).collect())) for part in (df.repartition(1), df.repartition(7), df.orderBy("b"))]
+    assert ways[0] == ways[1] == ways[2] and len(ways[0]) == 6
+    got = {(r["x"], r["y"]): r["r"] for r in eda.correlation_matrix(df.repartition(3), ["a", "b", "c", "d"]).collect()}
+    m = np.array([[np.nan if v is None else v for v in r] for r in rows])
+    whole = ~np.isnan(m[:, 2])
+    assert got[("a", "b")] == got[("b", "a")] == round(np.corrcoef(m[:, 0], m[:, 1])[0, 1], 9)
+    assert got[("a", "c")] == round(np.corrcoef(m[whole, 0], m[whole, 2])[0, 1], 9)
+    assert got[("a", "a")] == 1.0 and got[("a", "d")] is None and len(got) == 16

@@ -44,9 +44,9 @@ def test_forest_scores_do_not_depend_on_the_way(spark):
     assert [r[0] for r in ways[0] if r[1] is None] == [5, 9]
 
 
-def test_forest_of_a_device_beyond_the_pool(spark):
+def test_forest_of_a_device_beyond_its_samples(spark):
     df = spark.range(3000).select("id", F.lit("a").alias("device_id"), (F.col("id") * 37 % 101).cast("double").alias("x"))
-    ways = [sorted(tuple(r) for r in iforest.isolation_scores(df, "device_id", "id", ["x"], pool=500, **o).select("id", "iforest_score").collect())
+    ways = [sorted(tuple(r) for r in iforest.isolation_scores(df, "device_id", "id", ["x"], **o).select("id", "iforest_score").collect())
             for o in ({}, {"rows_per_task": 400})]
     assert ways[0] == ways[1]
 

@@ -10,7 +10,7 @@ from telemill.sources import messages as M
 from telemill.streaming import ingest as S
 from telemill.streaming.counts import read_counts
 from telemill.streaming.store import KeyedTable, Kind
-from tests.test_messages import FULL, T0, frame
+from test_messages import FULL, T0, frame
 
 HOUR = 3600
 
