@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import new_folder
 
@@ -26,6 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(column: str) -> str:
+    """A column's name for schemas and expressions, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def named(column: str) -> Column:
+    """A column by its whole name."""
+    return F.col(quoted(column))
+
+
+def plain_names(df: DataFrame) -> DataFrame:
+    """The same columns as c0, c1, ...: Spark's Python functions take no column with a backtick in its name."""
+    return df.select(*[named(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
+
+
+def own_names(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns by place, under their own names again."""
+    return df.toDF(*columns)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: computed once, pruned on reading, safe from lost executors."""
     path = new_folder(df.sparkSession, name)

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import anchors
-from .common import numbered, query, row_slices, table
+from .common import named, numbered, own_names, plain_names, query, row_slices, table
 
 WINDOW = 13
 LEAST = 5
@@ -356,7 +356,8 @@ def _hits(items: Items, words: Words) -> list[dict[int, list[int]]]:
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[Items]:
-    rows = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    rows = benchmark.select(named(id_col).cast(_id_kind(benchmark, id_col)).alias("id"), named(text_col).alias("text")).filter(
+        "text IS NOT NULL")
     order = numbered(rows, [F.col("id").asc_nulls_last(), F.col("text").asc()], "nth")
     count = order.count()
     out = []
@@ -366,19 +367,29 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[Items]:
     return out
 
 
-HITS = "array<struct<item:long,plain:long,template:long>>"
+def _id_kind(benchmark: DataFrame, id_col: str) -> str:
+    """Item ids stay whole numbers; all others are taken as text."""
+    return "long" if dict(benchmark.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint") else "string"
 
 
 def matched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", name: str = "hits", item_id: str = "item_id",
             item_text: str = "text") -> DataFrame:
-    """``docs`` with one more column: the items each document holds, with matching plain and template windows."""
-    kind = pa.list_(pa.struct([("item", pa.int64()), ("plain", pa.int64()), ("template", pa.int64())]))
+    """``docs`` with one more column: the items each document holds, with matching plain and template windows.
+
+    A column that already has its name is replaced.
+    """
+    item_kind = _id_kind(benchmark, item_id)
+    kind = pa.list_(pa.struct([("item", pa.int64() if item_kind == "long" else pa.string()), ("plain", pa.int64()), ("template", pa.int64())]))
+    hits_kind = f"array<struct<item:{item_kind},plain:long,template:long>>"
+    docs = docs.drop(name)
     columns = docs.columns
     at = columns.index(text_col)
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + f", `{name}` {HITS}"
+    plain = plain_names(docs)
+    schema = ", ".join(f"{c} {t}" for c, t in plain.dtypes) + f", hits {hits_kind}"
+    plain_columns = plain.columns
     blocks = _blocks(benchmark, item_id, item_text)
     if not blocks:
-        return docs.withColumn(name, F.lit(None).cast(HITS))
+        return docs.withColumn(name, F.lit(None).cast(hits_kind))
 
     def look(batches):
         for batch in batches:
@@ -391,10 +402,10 @@ def matched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", name:
                     for mine, own in zip(hits, _hits(items, words)):
                         mine += [{"item": items.ids[w], "plain": p, "template": t} for w, (p, t) in sorted(own.items())]
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(hits, kind)], [*columns, name])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(hits, kind)], [*plain_columns, "hits"])
         _word.cache_clear()  # the worker goes on to other stages
 
-    return docs.mapInArrow(look, schema)
+    return own_names(plain.mapInArrow(look, schema), [*columns, name])
 
 
 def filter(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:

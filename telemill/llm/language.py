@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import query, row_slices, table
+from .common import own_names, plain_names, query, row_slices, table
 
 SAMPLE_TEXTS = 48
 SAMPLE_CHARS = 600
@@ -156,10 +156,16 @@ class Model:
 
 def identify(docs: DataFrame, texts: dict[str, list[str]], text_col: str = "text", lang_name: str = "lang_pred",
              score_name: str = "score") -> DataFrame:
-    """All columns of ``docs`` with the predicted language and a score from 0 to 1 after them."""
+    """All columns of ``docs`` with the predicted language and a score from 0 to 1 after them.
+
+    Columns that already have one of the two names are replaced.
+    """
     model = Model(texts)
+    docs = docs.drop(lang_name, score_name)
     columns = docs.columns
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + f", `{lang_name}` string, `{score_name}` double"
+    plain = plain_names(docs)
+    plain_columns = plain.columns
+    schema = ", ".join(f"{c} {t}" for c, t in plain.dtypes) + ", lang string, score double"
     names = np.array([*model.languages, UNKNOWN], object)
     at = columns.index(text_col)
 
@@ -172,9 +178,9 @@ def identify(docs: DataFrame, texts: dict[str, list[str]], text_col: str = "text
                 lang, score = _label(model, letter_of, whole.slice(lo, hi - lo).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(lo, hi - lo).columns, pa.array(names[lang], pa.string()), pa.array(score)],
-                    [*columns, lang_name, score_name])
+                    [*plain_columns, "lang", "score"])
 
-    return docs.mapInArrow(label, schema)
+    return own_names(plain.mapInArrow(label, schema), [*columns, lang_name, score_name])
 
 
 def _label(model: Model, letter_of: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
