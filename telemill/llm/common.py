@@ -46,12 +46,15 @@ def own_names(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.toDF(*columns)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: computed once, pruned on reading, safe from lost executors."""
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+    """Write to the shared folder and read back: computed once, pruned on reading, safe from lost executors.
+
+    Large row sets that stay until the end of a job may ask for the denser ``zstd``.
+    """
     path = new_folder(df.sparkSession, name)
     # Spark drops the shuffle files of ended jobs when the driver collects its garbage: do so before more are written
     df.sparkSession.sparkContext._jvm.System.gc()
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -66,7 +66,7 @@ def _place() -> tuple[Column, Column]:
 def shared(found: DataFrame, several: Column) -> DataFrame:
     """Occurrences of the anchors whose group fulfils ``several``; groups are combined before the shuffle."""
     common = found.groupBy("anchor").agg(several.alias("several")).filter("several").select("anchor")
-    return stored(found.join(common, "anchor", "left_semi"), "segments")
+    return stored(found.join(common, "anchor", "left_semi"), "segments", "zstd")
 
 
 def classes(occurring: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def classes(occurring: DataFrame) -> DataFrame:
     first = F.min(F.struct("key", "place")).alias("first")
     each = stored(occurring.groupBy("anchor", "seg").agg(first).select(
         "anchor", "seg", F.col("first.key").alias("key"), F.col("first.place").alias("place")).select(
-        "anchor", "seg", "key", pos.alias("pos"), windows.alias("n")), "classes")
+        "anchor", "seg", "key", pos.alias("pos"), windows.alias("n")), "classes", "zstd")
     several = each.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     return each.join(several, "anchor", "left")
 
@@ -123,7 +123,7 @@ def window_masks(rows: DataFrame, found: DataFrame, unit: str, length: int, plac
         return [spread([p["anchor"] for _, p in sums_of]), spread([p["seg"] for _, p in sums_of]),
                 spread(np.asarray(keys)[text]), pa.array(np.repeat(pos, n) + bit), pa.array(bit), pa.array(hashes)]
 
-    windows = stored(contents(rows, found, cut, "anchor long, seg long, key long, pos long, bit long, hash long"), "windows")
+    windows = stored(contents(rows, found, cut, "anchor long, seg long, key long, pos long, bit long, hash long"), "windows", "zstd")
     where = F.struct(*place)
     least = windows.groupBy("anchor", "hash").agg(F.min(where).alias("least"), F.max(where).alias("most")).filter(
         "least < most").select("anchor", "hash", "least")
