@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import anchors, segment_join as S
-from .common import keyed, query, table
+from .common import keyed, query, stored, table
 from .suffixes import common_prefix_reaches, suffix_array
 
 LENGTH = 100
@@ -111,8 +111,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     kinds = S.classes(occurring)
     masks = _suffix_masks(rows, kinds.filter(F.col("kinds").between(2, many)), length).unionByName(
         S.window_masks(rows, kinds.filter(F.col("kinds") > many), "bytes", length, ["key", "pos"]))
+    masks = stored(masks, "masks")  # ends the job that moved texts to the sorters: their shuffle files can go
     copy = F.struct("key", "pos") != F.struct(F.col("first_key").alias("key"), F.col("first_pos").alias("pos"))
-    return rows, S.marks(occurring, kinds, masks, copy)
+    return rows, stored(S.marks(occurring, kinds, masks, copy), "gone", "zstd")
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
