@@ -2,17 +2,26 @@
 
 For each language a suffix automaton is built over a bounded sample of its
 labelled text. A text is then parsed greedily: each phrase is the longest match
-in the sample, and the language that needs the fewest phrases per character wins.
-
-The sample is the documented bound of this classifier: ``SAMPLE_TEXTS`` texts per
-language, those with the smallest hash, ``SAMPLE_CHARS`` characters of each. Every
-text that is classified is parsed whole, in blocks of ``BLOCK`` characters whose
-phrases add up, so that thousands of blocks step through the automata at once.
-
-Edge cases: null text, or one without a letter, is ``und`` with score 0. Ties go to the
-language that sorts first. Without any labelled text every text is ``und``. Repeated rows are
-labelled alike. Other columns pass through ``identify`` unchanged; new columns that
-would clash replace none: their names are given by the caller.
+in the sample. A phrase is worth the logarithm of the sample's length in bits (its place in
+the sample), so that a language with little labelled text is not at a disadvantage, and the language that
+needs the fewest bits per character wins.
+
+The sample is the documented bound of this classifier: ``SAMPLE_BLOCKS`` different blocks of
+``BLOCK_CHARS`` characters per language, those with the smallest hash among the blocks with a letter of
+all labelled texts, wherever in a text they stand. The model grows with the number of languages, not with the texts.
+Every text that is classified is parsed whole, in stretches of ``BLOCK`` characters whose
+phrases add up, so that thousands of stretches step through the automata at once. A phrase ends with its
+stretch, for all languages alike: where the next stretch's first phrase would begin otherwise is only known once
+the one before is parsed, and would cost the same steps one after the other.
+
+``fit`` says how much better the best language explains a text than naming its letters one by one out of the alphabet
+does: 1 at no cost, 0 or less where the language is no help, as for text in an unknown script.
+
+Edge cases: null text, or one without a letter, is ``und`` with score 0 and no fit. Ties go to the
+language that sorts first. Without any labelled text every text is ``und``, and ``filter`` then keeps every text with a
+letter, as nothing speaks against it. Empty tables give no rows. Repeated rows are
+labelled alike. Other columns pass through ``identify`` and ``filter`` unchanged; columns that have the names of
+new ones are replaced by ``identify``, whose caller names them.
 """
 
 from __future__ import annotations
@@ -24,27 +33,33 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import own_names, plain_names, query, row_slices, table
+from .common import named, own_names, plain_names, query, row_slices, table
 
-SAMPLE_TEXTS = 48
-SAMPLE_CHARS = 600
+SAMPLE_BLOCKS = 96
+BLOCK_CHARS = 300
 BLOCK = 256
 #: Bytes of text that a task parses at once.
 SLICE = 1 << 19
 UNKNOWN = "und"
+#: Fit that a text must exceed to be kept: below it, parsing costs half as much again as naming the letters one by one. Texts of a
+#: learned language stay far above even if much of them is codes or quotations; those in an unknown script lie near -1.5.
+LEAST_FIT = -0.5
+UNNAMED = "_fit_not_asked_for"
 
 
-def sample(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", texts: int = SAMPLE_TEXTS,
-           chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
-    """Up to ``texts`` different texts per language, chosen by hash; at most ``texts`` x ``chars`` characters each."""
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
+def sample(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", blocks: int = SAMPLE_BLOCKS,
+           chars: int = BLOCK_CHARS) -> dict[str, list[str]]:
+    """Up to ``blocks`` different blocks of ``chars`` characters per language, chosen by hash out of the whole texts."""
+    rows = labelled.select(named(lang_col).alias("lang"), named(text_col).cast("string").alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    head = rows.select("lang", F.xxhash64("text").alias("mark"), F.substring("text", 1, chars).alias("text"))
-    # equal texts are one; the limit per language applies before the shuffle as well
-    marks = head.groupBy("lang", "mark").agg(F.lit(1).alias("one"))
+    cut = rows.select("lang", F.explode(F.expr(
+        f"transform(sequence(1, length(text), {chars}), i -> substring(text, i, {chars}))")).alias("text")).filter(
+        F.col("text").rlike(r"\p{L}")).withColumn("mark", F.xxhash64("text"))
+    # equal blocks are one; the limit per language applies before the shuffle as well
+    marks = cut.groupBy("lang", "mark").agg(F.lit(1).alias("one"))
     first = marks.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("mark"))).filter(
-        F.col("nth") <= texts)
-    chosen = head.join(F.broadcast(first), ["lang", "mark"]).groupBy("lang", "mark").agg(F.min("text").alias("text"))
+        F.col("nth") <= blocks).select("lang", "mark")
+    chosen = cut.join(F.broadcast(first), ["lang", "mark"]).groupBy("lang", "mark").agg(F.min("text").alias("text"))
     out: dict[str, list[str]] = {}
     for r in chosen.orderBy("lang", "mark").collect():
         out.setdefault(r.lang, []).append(r.text)
@@ -128,6 +143,9 @@ class Model:
         self.languages = list(folded)
         self.width = len(self.letters) + 2
         self.steps = [Automaton(own, self.letters).step.ravel() for own in folded.values()]
+        #: Bits of a phrase per language, and of a letter that is named by itself.
+        self.phrase_bits = np.log2([2 + sum(map(len, own)) for own in folded.values()])
+        self.letter_bits = np.log2(len(self.letters) + 1)
 
     def letter_of(self) -> np.ndarray:
         """Letter of each code point: 1 for letters never seen, a blank for what is no letter."""
@@ -155,17 +173,18 @@ class Model:
 
 
 def identify(docs: DataFrame, texts: dict[str, list[str]], text_col: str = "text", lang_name: str = "lang_pred",
-             score_name: str = "score") -> DataFrame:
-    """All columns of ``docs`` with the predicted language and a score from 0 to 1 after them.
+             score_name: str = "score", fit_name: str | None = None) -> DataFrame:
+    """All columns of ``docs`` with the predicted language, a score from 0 to 1 and, if named, the fit after them.
 
-    Columns that already have one of the two names are replaced.
+    Columns that already have one of the names are replaced.
     """
     model = Model(texts)
-    docs = docs.drop(lang_name, score_name)
+    new = [n for n in (lang_name, score_name, fit_name) if n is not None]
+    docs = docs.drop(*new)
     columns = docs.columns
     plain = plain_names(docs)
     plain_columns = plain.columns
-    schema = ", ".join(f"{c} {t}" for c, t in plain.dtypes) + ", lang string, score double"
+    schema = ", ".join(f"{c} {t}" for c, t in plain.dtypes) + ", lang string, score double, fit double"
     names = np.array([*model.languages, UNKNOWN], object)
     at = columns.index(text_col)
 
@@ -175,15 +194,30 @@ def identify(docs: DataFrame, texts: dict[str, list[str]], text_col: str = "text
             whole = pc.fill_null(batch.column(at), "")
             size = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(whole), np.int64))])
             for lo, hi in row_slices(len(whole), size, SLICE):
-                lang, score = _label(model, letter_of, whole.slice(lo, hi - lo).to_pylist())
+                lang, score, fit = _label(model, letter_of, whole.slice(lo, hi - lo).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(lo, hi - lo).columns, pa.array(names[lang], pa.string()), pa.array(score)],
-                    [*plain_columns, "lang", "score"])
+                    [*batch.slice(lo, hi - lo).columns, pa.array(names[lang], pa.string()), pa.array(score),
+                     pa.array(fit, mask=np.isnan(fit))], [*plain_columns, "lang", "score", "fit"])
+
+    found = own_names(plain.mapInArrow(label, schema), [*columns, lang_name, score_name, fit_name or UNNAMED])
+    return found if fit_name else found.drop(UNNAMED)
+
 
-    return own_names(plain.mapInArrow(label, schema), [*columns, lang_name, score_name])
+def filter(docs: DataFrame, texts: dict[str, list[str]], text_col: str = "text", wanted: set[str] | None = None,
+           least_fit: float = LEAST_FIT) -> DataFrame:
+    """The rows of ``docs`` whose predicted language is wanted (by default any learned one) and fits, all columns as they are."""
+    if not texts:
+        return docs.filter(F.coalesce(named(text_col).rlike(r"\p{L}"), F.lit(False)))
+    names = [f"_{n}" + "_" * max(map(len, docs.columns)) for n in ("lang", "score", "fit")]
+    lang, _, fit = map(F.col, names)
+    keep = (lang != UNKNOWN) & (fit > least_fit)
+    if wanted is not None:
+        keep &= lang.isin(*wanted)
+    return identify(docs, texts, text_col, *names).filter(keep).drop(*names)
 
 
-def _label(model: Model, letter_of: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _label(model: Model, letter_of: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language (index), score and fit (nan without a letter) of each text."""
     blank = model.letters[" "]
     letters = letter_of[_codes("".join(texts))]
     size = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -213,13 +247,18 @@ def _label(model: Model, letter_of: np.ndarray, texts: list[str]) -> tuple[np.nd
             total[:, k] = np.bincount(owner, counts, minlength=len(texts))
         total -= (per * BLOCK - n)[:, None]  # each letter of the padding counted as a phrase
     lang = np.full(len(texts), len(model.languages))
-    score = np.zeros(len(texts))
+    score, fit = np.zeros(len(texts)), np.full(len(texts), np.nan)
     if len(model.languages):
-        lang = np.where(found, total.argmin(1), lang)
-        best = np.sort(total, 1)
+        bits = total * model.phrase_bits
+        lang = np.where(found, bits.argmin(1), lang)
+        best = np.sort(bits, 1)
         second = best[:, 1] if best.shape[1] > 1 else best[:, 0] * 2
         score = np.where(found, second / np.maximum(best[:, 0] + second, 1), 0.0)
-    return lang, score
+        # phrases that ended before their stretch did: the last one of a stretch may have gone on
+        ended = total - -(-n // BLOCK)[:, None]
+        cost = (ended * model.phrase_bits).min(1) / np.maximum(n, 1)
+        fit = np.where(found, 1 - cost / model.letter_bits, np.nan)
+    return lang, score, fit
 
 
 def held_out(id_col: str = "doc_id", parts: int = 3, part: int = 1) -> Column:

@@ -41,15 +41,16 @@ def test_phrases_against_brute_force():
                         k += 1
                     i, n = i + (k if any(block[i:i + k] in o for o in own) else 1), n + 1
             want.append(n)
-        lang, score = L._label(model, model.letter_of(), [text])
-        assert want[lang[0]] == min(want)
-        assert np.isclose(score[0], max(want) / max(sum(want), 1))
+        bits = np.array(want) * [np.log2(2 + sum(map(len, own))) for own in texts.values()]
+        lang, score, fit = L._label(model, model.letter_of(), [text])
+        assert bits[lang[0]] == bits.min() and fit[0] <= 1
+        assert np.isclose(score[0], bits.max() / max(bits.sum(), 1))
 
 
 def test_language_held_out_accuracy_and_edges(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     texts = L.sample(docs.filter(~L.held_out()))
-    assert all(len(t) <= L.SAMPLE_TEXTS and max(map(len, t)) <= L.SAMPLE_CHARS for t in texts.values())
+    assert all(len(t) <= L.SAMPLE_BLOCKS and max(map(len, t)) <= L.BLOCK_CHARS for t in texts.values())
     found = L.identify(docs, texts).filter(L.held_out()).select("lang", "lang_pred", "score").collect()
     assert np.mean([r.lang == r.lang_pred for r in found]) > 0.97 and all(0 <= r.score <= 1 for r in found)
     edge = spark.createDataFrame(EDGE, "doc_id long, text string")
@@ -58,6 +59,42 @@ def test_language_held_out_accuracy_and_edges(spark, sf_dir):
     assert L.identify(edge.limit(0), texts).collect() == []
 
 
+def test_language_of_a_small_sample(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").filter("length(text) > 100")
+    texts = L.sample(docs.filter(~L.held_out()))
+    for lang in texts:  # one with 4 blocks against 96
+        few = {k: own[:4] if k == lang else own for k, own in texts.items()}
+        found = L.identify(docs.filter(L.held_out()).filter(docs.lang == lang), few).collect()
+        assert found and all(r.lang_pred == lang for r in found)
+
+
+def test_sample_comes_from_whole_texts(spark):
+    text = "0123456789" * 90 + "".join(chr(97 + i % 26) for i in range(1200))
+    df = spark.createDataFrame([(text, "x")] * 3 + [(None, "x"), ("abc", None), ("12", "y")], "text string, lang string")
+    blocks = [text[i:i + L.BLOCK_CHARS] for i in range(0, len(text), L.BLOCK_CHARS)]
+    got = L.sample(df)
+    assert set(got) == {"x"} and sorted(got["x"]) == sorted({b for b in blocks if any(c.isalpha() for c in b)})
+    assert L.sample(df.limit(0)) == {}
+
+
+def test_filter_by_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    texts = L.sample(docs.filter(~L.held_out()))
+    rows = [(1, "the and of with this", 1), (1, "the and of with this", 1), (2, None, 1), (3, "12 !", 1), (4, "", 1), (5, "q", 1), (None, "of and the", 1),
+            (6, "\u4eca\u65e5\u306f\u3068\u3066\u3082\u5929\u6c17\u304c\u3044\u3044\u3067\u3059\u306d" * 40, 1),  # a script nobody learned
+            (7, "the and of with this ed er on " * 40000, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `_lang.a` int").withColumnRenamed("_lang.a", "a.`b")
+    kept = L.filter(df, texts)
+    assert kept.columns == df.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "5", "7", "None"]
+    assert L.filter(df, texts, wanted={"de"}).filter("doc_id = 7").count() == 0
+    assert sorted(str(r.doc_id) for r in L.filter(df, {}).collect()) == ["1", "1", "5", "6", "7", "None"]
+    assert L.filter(df.limit(0), texts).collect() == []
+    assert L.filter(docs, texts).count() == docs.filter(docs.text.rlike(r"\p{L}")).count()  # clean documents stay
+    same = L.identify(spark.createDataFrame([(1, "aaaa bbbb")], "doc_id long, text string"), {"y": ["aaaa bbbb"], "x": ["aaaa bbbb"]}).first()
+    assert same.lang_pred == "x" and same.score == 0.5  # a tie
+
+
 def test_quality_held_out_and_edges(spark):
     sf = "/root/testdata/sf0.01"
     out = L.held_out("doc_id", 5, 0)
