@@ -3,22 +3,27 @@
 A stage reads all its predecessor kept; what it returns is written as Parquet
 below the shared folder and read again as the next stage's documents. All
 stages but the last return the columns of documents unchanged.
+
+Edge cases: rows with null or repeated ids pass the first four stages as rows of their own. Of
+equal texts with equal ids one row stays. Empty tables give empty stages; an empty benchmark removes nothing. Texts of any length are
+read whole, and columns with clashing names pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from telemill.llm import decontamination, exact_dedup, language, minhash_dedup, packing
 from telemill.llm.common import stored, table
 
 
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some learned language; null texts and those without a letter go."""
-    names = ["_lang" + "_" * max(map(len, docs.columns)), "_score" + "_" * max(map(len, docs.columns))]
-    texts = language.sample(docs.filter(~language.held_out()))
-    return language.identify(docs, texts, lang_name=names[0], score_name=names[1]).filter(
-        F.col(names[0]) != language.UNKNOWN).drop(*names)
+    """Documents in a learned language.
+
+    Null texts and those without a letter go, and those that the predicted language explains no better than single letters do,
+    such as texts in an unknown script. Without any labelled text only the former go.
+    """
+    return language.filter(docs, language.sample(docs.filter(~language.held_out())))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
