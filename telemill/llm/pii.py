@@ -10,9 +10,13 @@ their groups, IPv6).
 Votes and features are counted over all documents, and counts are all the driver sees: at most
 kinds x 3^4 votes x 2^5 features rows, whatever the input.
 
+Time is linear in a text's length: every pattern is anchored or possessive, spans are swept in order.
+Texts are taken in slices of ``SLICE`` bytes, one whole text at least.
+
 Edge cases: null or empty text has no spans. Offsets are code points, end exclusive. Strict spans of a kind
-never overlap; added ones overlap no span of any kind. Repeated rows give equal lines. An empty table gives no
-rows and trains nothing. Other columns are not read.
+never overlap; added ones overlap no span of any kind, and of added ones that overlap the one of the kind listed first stays.
+Rows with null ids keep them; repeated rows give equal lines. An empty table gives no
+rows and trains nothing. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -25,18 +29,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import query, table
+from .common import named, query, row_slices, table
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("pattern", "gazetteer", "context", "boundary")
 #: Probability from which a looser span is added.
 ADD_FROM = 0.8
+#: Bytes of text that a task holds as Python strings at once.
+SLICE = 1 << 20
 
 # The strict patterns.
-LOCAL = r"[A-Za-z0-9._%+-]"
 EMAIL_REST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-EMAIL_LOCAL = re.compile(LOCAL + "+$")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+# the same matches as without the lookbehind: a match inside a run of digits could begin at the run's start
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -90,7 +96,7 @@ def strict(text: str) -> list[tuple[int, int, int]]:
     at, free = text.find("@"), 0
     while at >= 0:
         lo = at
-        while lo > free and re.match(LOCAL, text[lo - 1]):
+        while lo > free and text[lo - 1] in LOCAL_CHARS:
             lo -= 1
         m = EMAIL_REST.match(text, at) if lo < at else None
         if m:
@@ -109,14 +115,22 @@ def strict(text: str) -> list[tuple[int, int, int]]:
 
 
 def loose(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Looser candidates that overlap nothing taken."""
+    """Looser candidates that overlap nothing taken, nor one of a kind listed before."""
     out: list[tuple[int, int, int]] = []
+    busy = sorted((a, b) for _, a, b in taken)
     for k, kind in enumerate(KINDS):
         if SIGN[kind].search(text):
+            own = []
+            at, reach = 0, 0  # spans in front of the candidate's end, and how far they reach
             for m in LOOSE[kind].finditer(text):
                 lo, hi = m.span()
-                if all(hi <= a or b <= lo for _, a, b in taken) and all(hi <= a or b <= lo for _, a, b in out):
-                    out.append((k, lo, hi))
+                while at < len(busy) and busy[at][0] < hi:
+                    reach = max(reach, busy[at][1])
+                    at += 1
+                if reach <= lo:
+                    own.append((lo, hi))
+            out += [(k, lo, hi) for lo, hi in own]
+            busy = sorted(busy + own)
     return out
 
 
@@ -167,21 +181,29 @@ def _candidates(text: str):
     return [(s, True) for s in taken] + [(s, False) for s in loose(text, taken)]
 
 
+def _slices(column: pa.Array):
+    """Number of the first row, and texts, of slices of bounded size; null is empty."""
+    whole = pc.fill_null(column, "")
+    size = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(whole), np.int64))])
+    for lo, hi in row_slices(len(whole), size, SLICE):
+        yield lo, whole.slice(lo, hi - lo).to_pylist()
+
+
 def counts(docs: DataFrame, text_col: str = "text") -> list[tuple[int, tuple, int, int]]:
     """(kind, votes, features, candidates) over all documents."""
     def run(batches):
         for batch in batches:
             seen: dict[tuple, int] = {}
-            for chunk in range(0, batch.num_rows, 256):
-                for text in batch.column(0).slice(chunk, 256).to_pylist():
-                    for span, is_strict in _candidates(text or ""):
+            for _, texts in _slices(batch.column(0)):
+                for text in texts:
+                    for span, is_strict in _candidates(text):
                         key = (span[0], sum((v + 1) * 3 ** i for i, v in enumerate(votes(text, span, is_strict))),
                                features(text, span))
                         seen[key] = seen.get(key, 0) + 1
             columns = list(zip(*[(*k, n) for k, n in seen.items()])) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["kind", "votes", "features", "n"])
 
-    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(
+    found = docs.select(named(text_col).cast("string").alias("text")).mapInArrow(
         run, "kind long, votes long, features long, n long").groupBy("kind", "votes", "features").agg(F.sum("n").alias("n"))
     return [(r.kind, tuple(r.votes // 3 ** i % 3 - 1 for i in range(len(LABELERS))), r.features, r.n)
             for r in found.orderBy("kind", "votes", "features").collect()]
@@ -232,7 +254,7 @@ def train(counted: list[tuple[int, tuple, int, int]]) -> dict[int, np.ndarray]:
 def detect(docs: DataFrame, weights: dict[int, np.ndarray], id_col: str = "doc_id", text_col: str = "text",
            add_from: float = ADD_FROM) -> DataFrame:
     """id and spans (kind, start, end, strict, score), by kind as listed and start."""
-    id_type = docs.select(id_col).schema[0].dataType.simpleString()
+    id_type = docs.select(named(id_col)).schema[0].dataType.simpleString()
     spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("strict", pa.bool_()),
                                 ("score", pa.float64())]))
 
@@ -244,15 +266,15 @@ def detect(docs: DataFrame, weights: dict[int, np.ndarray], id_col: str = "doc_i
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
+            for lo, texts in _slices(batch.column(1)):
                 found = []
-                for text in pc.fill_null(batch.column(1).slice(lo, 256), "").to_pylist():
+                for text in texts:
                     own = [(*s, is_strict, score(text, s, is_strict)) for s, is_strict in _candidates(text)]
                     found.append([{"kind": KINDS[k], "start": a, "end": b, "strict": t, "score": p}
                                   for k, a, b, t, p in sorted(own) if t or p >= add_from])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 256), pa.array(found, spans)], ["id", "spans"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(texts)), pa.array(found, spans)], ["id", "spans"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return docs.select(named(id_col).alias("id"), named(text_col).cast("string").alias("text")).mapInArrow(
         run, f"id {id_type}, spans array<struct<kind:string,start:long,end:long,strict:boolean,score:double>>"
     ).withColumnRenamed("id", id_col)
 
