@@ -41,8 +41,8 @@ SLICE = 1 << 20
 # The strict patterns.
 EMAIL_REST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-# the same matches as without the lookbehind: a match inside a run of digits could begin at the run's start
-IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
+# the same matches as without the lookbehind: one that begins inside a run of digits could begin at the run's start
+IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
