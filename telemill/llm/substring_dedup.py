@@ -1,13 +1,14 @@
 """Substring dedup over words by seed and extend.
 
 Seeds are winnowed anchors of ``GRAM`` words: any repeat of ``LENGTH`` words holds
-one at the same place in all its copies. Documents are joined on shared seeds;
-around each seed the match is extended to both sides in every way that reaches
-``LENGTH`` words. Matched windows of a document join to maximal repeats. A window counts if its words also
+one at the same place in all its copies. Documents are joined on shared seeds; equal surroundings of a seed are one class.
+A class takes as partners, one for each of its few windows, the first classes whose hashes promise a match, and from the seed the
+words of both are compared to the left and to the right, one by one, until they differ. What is at
+least ``LENGTH`` words long is kept; the kept matches of a document join to maximal repeats. A window counts if its words also
 begin in a document with a smaller id; all is judged on the input.
 
-Words are runs of anything but blank and tab to carriage return, compared
-unchanged by 128 bits of hash (seed and window).
+Words are runs of anything but blank and tab to carriage return, compared unchanged. Hashes pick classes and
+partners (copies of a class are told by 128 bits: seed and content); the words themselves decide what partners share.
 
 Edge cases: null or wordless text has no words and keeps the empty string's
 hash. Documents shorter than a window keep all. Ids that are null, repeated or
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import anchors, segment_join as S
-from .common import keyed, query, table
+from .common import keyed, query, stored, table
 
 LENGTH = 13
 GRAM = 4
@@ -36,10 +37,75 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     occurring = S.shared(found, F.min("key") < F.max("key"))
     kinds = S.classes(occurring)
     seeds = kinds.filter("kinds > 1")
-    masks = S.window_masks(rows, seeds, "words", length, ["key"])
+    masks = extended(surroundings(rows, seeds, length), length)
     return rows, S.marks(occurring, kinds, masks, F.col("key") > F.col("first_key"))
 
 
+def surroundings(rows: DataFrame, seeds: DataFrame, length: int) -> DataFrame:
+    """Per class: anchor, seg, key, n windows, and its first place's text from the first word to the last."""
+    def cut(keys, texts, lists):
+        raw, offsets = anchors.text_buffers(texts)
+        start, end, _, first = anchors.words(raw, offsets)
+        out = [(p["anchor"], p["seg"], key, p["n"], raw[start[at]:end[at + p["n"] + length - 2]].tobytes())
+               for key, f, own in zip(keys, first, lists) for p in own for at in [f + p["pos"]]]
+        columns = list(zip(*out)) or [[]] * 5
+        return [*[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.binary())]
+
+    return stored(S.contents(rows, seeds, cut, "anchor long, seg long, key long, n long, words binary"), "surroundings", "zstd")
+
+
+def extended(around: DataFrame, length: int) -> DataFrame:
+    """(anchor, seg, mask): the windows of each class that lie in a match with a class of an earlier document."""
+    def hashed(batches):
+        for batch in batches:
+            texts = batch.column("words").cast(pa.string())
+            for lo, some in S.slices(texts):
+                values, first = S.tokens("words", some)
+                own = batch.slice(lo, len(some))
+                n = np.asarray(own.column("n"))
+                bit = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                hashes = anchors.windows_at(values, np.repeat(first[:-1], n) + bit, length)
+                spread = [pa.array(np.repeat(np.asarray(own.column(c)), n)) for c in ("anchor", "seg", "key")]
+                yield pa.RecordBatch.from_arrays([*spread, pa.array(bit), pa.array(hashes)],
+                                                 ["anchor", "seg", "key", "bit", "hash"])
+
+    windows = around.mapInArrow(hashed, "anchor long, seg long, key long, bit long, hash long")
+    first = windows.groupBy("anchor", "hash").agg(
+        F.min(F.struct("key", "seg", "bit")).alias("least"), F.max("key").alias("most")).filter("least.key < most")
+    # the seed stands at one place of both classes, so all their common windows have one shift
+    pairs = windows.join(first, ["anchor", "hash"]).filter("key > least.key").groupBy(
+        "anchor", "seg", F.col("least.seg").alias("other")).agg(F.min(F.expr("least.bit - bit")).alias("shift"))
+    mine = around.select("anchor", "seg", "n", "words")
+    theirs = around.select("anchor", F.col("seg").alias("other"), F.col("words").alias("their_words"))
+    both = pairs.join(theirs, ["anchor", "other"]).join(mine, ["anchor", "seg"]).select(
+        "anchor", "seg", "shift", "n", "words", "their_words")
+
+    def extend(batches):
+        for batch in batches:
+            masks = [_extension(a.split(), b.split(), shift, n, length) for a, b, shift, n in zip(
+                *(batch.column(c).to_pylist() for c in ("words", "their_words", "shift", "n")))]
+            yield pa.RecordBatch.from_arrays([batch.column("anchor"), batch.column("seg"), pa.array(masks, pa.int64())],
+                                             ["anchor", "seg", "mask"])
+
+    return both.mapInArrow(extend, "anchor long, seg long, mask long").groupBy("anchor", "seg").agg(
+        F.bit_or("mask").alias("mask")).filter("mask != 0")
+
+
+def _extension(words: list[bytes], theirs: list[bytes], shift: int, n: int, length: int) -> int:
+    """Windows (bits) inside the match that grows from the seed; word i of the one stands against i + shift of the other.
+
+    All ``n`` windows hold the words from n - 1 to length, the seed among them: these must agree.
+    """
+    lo, hi = n - 1, length
+    if lo + shift < 0 or words[lo:hi] != theirs[lo + shift:hi + shift]:
+        return 0
+    while lo > 0 and lo + shift > 0 and words[lo - 1] == theirs[lo - 1 + shift]:
+        lo -= 1
+    while hi < len(words) and hi + shift < len(theirs) and words[hi] == theirs[hi + shift]:
+        hi += 1
+    return ((1 << max(hi - lo - length + 1, 0)) - 1) << lo
+
+
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
           gram: int = GRAM) -> DataFrame:
     """id, n_words, n_removed, n_repeats (maximal), kept (words that stay, joined by blanks) per document."""
