@@ -20,7 +20,7 @@ from telemill.llm.common import stored, table
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language.
 
-    Null texts and those without a letter go, and those that the predicted language explains no better than single letters do,
+    Null texts and those without a letter go, and those that the predicted language has no phrases for,
     such as texts in an unknown script. Without any labelled text only the former go.
     """
     return language.filter(docs, language.sample(docs.filter(~language.held_out())))
