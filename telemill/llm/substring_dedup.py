@@ -37,8 +37,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     occurring = S.shared(found, F.min("key") < F.max("key"))
     kinds = S.classes(occurring)
     seeds = kinds.filter("kinds > 1")
-    masks = extended(surroundings(rows, seeds, length), length)
-    return rows, S.marks(occurring, kinds, masks, F.col("key") > F.col("first_key"))
+    masks = stored(extended(surroundings(rows, seeds, length), length), "masks", "zstd")
+    return rows, stored(S.marks(occurring, kinds, masks, F.col("key") > F.col("first_key")), "marks", "zstd")
 
 
 def surroundings(rows: DataFrame, seeds: DataFrame, length: int) -> DataFrame:
@@ -73,8 +73,9 @@ def extended(around: DataFrame, length: int) -> DataFrame:
     first = windows.groupBy("anchor", "hash").agg(
         F.min(F.struct("key", "seg", "bit")).alias("least"), F.max("key").alias("most")).filter("least.key < most")
     # the seed stands at one place of both classes, so all their common windows have one shift
-    pairs = windows.join(first, ["anchor", "hash"]).filter("key > least.key").groupBy(
-        "anchor", "seg", F.col("least.seg").alias("other")).agg(F.min(F.expr("least.bit - bit")).alias("shift"))
+    # written, as the masks and marks are: shuffle files of one step go before those of the next come
+    pairs = stored(windows.join(first, ["anchor", "hash"]).filter("key > least.key").groupBy(
+        "anchor", "seg", F.col("least.seg").alias("other")).agg(F.min(F.expr("least.bit - bit")).alias("shift")), "pairs", "zstd")
     mine = around.select("anchor", "seg", "n", "words")
     theirs = around.select("anchor", F.col("seg").alias("other"), F.col("words").alias("their_words"))
     both = pairs.join(theirs, ["anchor", "other"]).join(mine, ["anchor", "seg"]).select(
