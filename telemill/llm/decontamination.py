@@ -7,8 +7,9 @@ tried. In documents any word but numbers and small common words fits a name, wha
 place. Windows of ``WINDOW`` words of every document are looked up among the windows of the
 benchmark, both as plain words and as templates. A template match must keep its slots consistent, so
 that re-parameterised questions are found and mere lookalikes are not: within a window each number
-and unit of the question stands for one of the document (several may come to the same), and within
-a run of matching windows each name for one name and the other way round.
+and unit of the question stands for one of the document (several may come to the same), and each
+name for one name and the other way round. Every window is judged by itself, so a longer copy is never
+let through for what stands elsewhere in it.
 
 An item with fewer words than a window is one window; items with fewer than
 ``LEAST`` words are no evidence and are not searched.
@@ -66,6 +67,8 @@ COMMON = frozenset("a about add after all also an and any are as at be because b
                    "quand quel quelle quels qui quoi sont sur trouvez une".split())
 #: A MAYBE opens a sentence in capitals, or is a name elsewhere in its item: a name, or just the word it is.
 PLAIN, NUM, NAME, UNIT, MAYBE = range(5)
+#: Names of the document, looked at from their side.
+BACK = 5
 #: Seeds of template windows: words at these places, from a run of up to eight, or any three of seven.
 RUNS = [tuple(range(n)) for n in (8, 6, 4, 3)]
 TRIPLES = [(0, a, b) for b in range(2, 7) for a in range(1, b)]
@@ -283,49 +286,21 @@ class Lookup:
                  self.words.spelled[self.words.at[here + j]]) for j in np.flatnonzero((kind != PLAIN) & ~((kind == MAYBE) & same))]
 
     def counted(self, here: int, there: int, count: int, length: int) -> int:
-        """Windows with consistent slots in a run of ``count`` matching ones.
-
-        Where the names clash, words that are not written like names, and all MAYBEs, are taken as they are.
-        """
-        slots = self.slots(here, there, count + length - 1)
-        if _one_to_one(slots):
-            return _steady(slots, count, length)
-        size = count + length - 1
-        kind = self.items.kind[there:there + size]
-        bits = self.words.bits[here:here + size]
-        able = (self.word[here:here + size] == self.items.word[there:there + size]) | (kind != MAYBE) & (
-            (kind != NAME) | (bits & 20 == 20))
-        full = np.lib.stride_tricks.sliding_window_view(able, length).all(1)
-        if full.all():
-            return 0
-        full &= np.lib.stride_tricks.sliding_window_view((kind != PLAIN) & (kind != MAYBE), length).any(1)
-        runs = [(self.slots(here + at, there + at, n + length - 1), n) for at, n in _runs(np.flatnonzero(full))]
-        return sum(_steady(slots, n, length) for slots, n in runs if _one_to_one(slots))
-
-
-def _runs(at: np.ndarray) -> list[tuple[int, int]]:
-    """First and count of each run of successive numbers."""
-    return [(int(run[0]), len(run)) for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(run)]
-
-
-def _one_to_one(slots: list[tuple[int, int, str, str]]) -> bool:
-    """Whether each name of the item stands for one word of the document, and the other way round."""
-    there, back = {}, {}
-    return all(there.setdefault(a, b) == b and back.setdefault(b, a) == a for _, k, a, b in slots if k == NAME)
+        """Windows with consistent slots in a run of ``count`` matching ones."""
+        return _steady(self.slots(here, there, count + length - 1), count, length)
 
 
 def _steady(slots: list[tuple[int, int, str, str]], count: int, length: int) -> int:
-    """Windows of a run within which each number and unit of the item stands for one of the document."""
+    """Windows of a run within which each slot value of the item stands for one of the document, and for names the other way round."""
     last: dict[tuple[int, str], tuple[int, str, int]] = {}  # place and value of the latest, place of the latest other value
     clash = np.full(count + length, -1)  # per place of a window's last word: a place it must not reach back to
     for place, k, a, b in slots:
-        if k == NAME:
-            continue
-        at, value, other = last.get((k, a), (-1, b, -1))
-        if value != b:
-            other = at
-        last[k, a] = place, b, other
-        clash[place] = max(clash[place], other)
+        for key, value in [((k, a), b)] + [((BACK, b), a)] * (k == NAME):
+            at, before, other = last.get(key, (-1, value, -1))
+            if before != value:
+                other = at
+            last[key] = place, value, other
+            clash[place] = max(clash[place], other)
     clash = np.maximum.accumulate(clash)
     begin = np.arange(count)
     return int((clash[begin + length - 1] < begin).sum())

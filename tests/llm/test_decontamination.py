@@ -76,14 +76,29 @@ def test_a_clash_of_numbers_clears_its_windows_only(spark):
     assert found(spark, [SHOP], [" ".join(text[clash[0] - 3:clash[0] + 10])]) == [[]]  # only windows with both
 
 
-def test_numbers_against_each_window(spark):
+def test_a_clash_of_names_clears_its_windows_only(spark):
+    # the two Boston stand 18 words apart, so no window of 13 holds both; Denver and the second Boston share some
+    item = "the train from Boston to the lake stops 3 times on its way so the guests reach Denver after it left Boston for the night"
+    text = item.replace("from Boston", "from Paris").replace("left Boston", "left Rome").replace("Denver", "Lyon")
+    assert found(spark, [item], [text, text.replace("Lyon", "Rome")]) == [[0], [0]]
+    assert windows(spark, item, text) == windows(spark, item, item)
+    assert 0 < windows(spark, item, text.replace("Lyon", "Rome")) < windows(spark, item, item)
+    near = "the guests who reach Denver before night leave Denver when the sun is up"
+    assert found(spark, [near], [near.replace("reach Denver", "reach Lyon").replace("leave Denver", "leave Rome")]) == [[]]
+
+
+def test_slots_against_each_window():
     rng = random.Random(5)
     size, length = 60, 13
-    for _ in range(200):
-        pairs = [(j, rng.choice((D.NUM, D.UNIT)), rng.choice("12"), rng.choice("789")) for j in range(size) if rng.random() < 0.15]
-        plain = sum(len({(k, a) for _, k, a, _ in own}) == len({(k, a, b) for _, k, a, b in own})
-                    for s in range(size - length + 1) for own in [[p for p in pairs if s <= p[0] < s + length]])
-        assert D._steady(pairs, size - length + 1, length) == plain
+    for _ in range(400):
+        pairs = [(j, rng.choice((D.NUM, D.UNIT, D.NAME)), rng.choice("12"), rng.choice("789")) for j in range(size)
+                 if rng.random() < 0.15]
+        want = 0
+        for s in range(size - length + 1):
+            own = {(k, a, b) for j, k, a, b in pairs if s <= j < s + length}
+            names = [(a, b) for k, a, b in own if k == D.NAME]
+            want += len({(k, a) for k, a, _ in own}) == len(own) and len({b for _, b in names}) == len(names)
+        assert D._steady(pairs, size - length + 1, length) == want
 
 
 def test_literal_words_of_a_window(spark):
