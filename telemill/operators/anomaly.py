@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import count_true, known_numbers, mean, pct, rnd, rnd_even
+from . import table_detectors
 from .iforest import isolation_scores
 from .joins import attach
 from .order_stats import grouped_quantiles
@@ -120,11 +121,11 @@ def detect(df: DataFrame, methods: tuple[str, ...] | Mapping[str, Detector] = tu
            needed: int = CONSENSUS_METHODS, **options) -> DataFrame:
     """Run detectors one after another on the same rows; no row-level join is needed.
 
-    ``methods`` are names of the detectors here, or a mapping of names to own
+    ``methods`` are names of the detectors here or of table functions (``table_detectors``), or a mapping of names to own
     ones: each takes the readings and adds a boolean column ``<name>_anomaly``.
     """
     built_in = {"zscore": zscore, "iqr": iqr, "iforest": lambda rows: isolation_forest(rows, **options)}
-    steps = methods if isinstance(methods, Mapping) else {m: built_in[m] for m in methods}
+    steps = methods if isinstance(methods, Mapping) else {m: built_in.get(m) or table_detectors.step(m) for m in methods}
     for step in steps.values():
         df = step(df)
     return consensus(df, list(steps), needed)

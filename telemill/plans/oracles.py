@@ -382,6 +382,7 @@ ORACLES["stream_ingest"] = over("spoints", "SELECT DISTINCT * FROM spoints")
 ORACLES["ingest_messages"] = over("outcome", """
 SELECT CASE WHEN outcome = 'parse_error' THEN 'dead_letter' ELSE kind END AS sink, COUNT(*) AS points
 FROM outcome WHERE outcome IN ('written', 'parse_error') GROUP BY 1""")
+ORACLES["ingest_message_log"] = ORACLES["ingest_messages"]
 ORACLES["stream_derive"] = over("tpoints", f"""
 SELECT device_id, time AS timestamp, CAST(hour(time) AS BIGINT) AS hour, dayname(time) AS weekday, anomaly = 'True' AS is_anomaly,
  {_QUALITY.format(x='signal_dbm')} AS signal_quality, {_TEMP.format(x='temperature_c')} AS temp_status,
@@ -485,6 +486,10 @@ ORACLES["iqr"] = over("flags", "SELECT id, device_id, " + ", ".join(
     + ", iqr_anomaly, iqr_trigger FROM flags")
 ORACLES["align_methods"] = over("flags", "SELECT id, zscore_anomaly, zscore_trigger, iqr_anomaly, iqr_trigger FROM flags")
 ORACLES["consensus"] = over("cons", "SELECT id, method_count, consensus_anomaly FROM cons")
+ORACLES["consensus_jump"] = over("cons", """
+SELECT id, jump AS jump_anomaly, method_count + CAST(jump AS BIGINT) AS method_count, method_count + CAST(jump AS BIGINT) >= 2 AS consensus_anomaly
+FROM (SELECT *, COALESCE(ABS(temperature_c - LAG(temperature_c IGNORE NULLS) OVER (
+  PARTITION BY device_id, CAST(timestamp AS DATE) ORDER BY timestamp, id)) > 30, FALSE) AS jump FROM cons) j""")
 ORACLES["anomaly_summary"] = over("asum", "SELECT * FROM asum ORDER BY consensus_anomalies DESC, device_id")
 ORACLES["method_rates"] = over("asum", " UNION ALL ".join(
     f"SELECT '{m}' AS method, CAST(SUM({m}_anomalies) AS BIGINT) AS anomalies, ROUND({pct(f'SUM({m}_anomalies)', 'SUM(total_readings)')}, 2) AS rate_pct FROM asum"

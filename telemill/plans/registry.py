@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import derive
 from ..functions.histogram import histogram
 from ..functions.numeric import count_true, mean, rnd
-from ..operators import anomaly, cleaning
+from ..operators import anomaly, cleaning, table_detectors
 from ..operators.ordered import range_of
 from ..session import apply_conf, new_folder
 from ..sources import bindings as B, csv_tables as C, messages as M, points as P
+from ..sources.message_log import log_messages, write_log
 from ..streaming import ingest as S
 from ..streaming.counts import COLUMNS as COUNTS, read_counts
 from . import eda, export, fleet, kpis, machine, report
@@ -252,6 +253,11 @@ def _two(t: DataFrame) -> DataFrame:
     return anomaly.detect(t, TWO_METHODS)
 
 
+def _with_jump(t: DataFrame) -> DataFrame:
+    table_detectors.register(t.sparkSession, "jump", table_detectors.Jump)
+    return anomaly.detect(t, (*TWO_METHODS, "jump"))
+
+
 def _validated(t: DataFrame) -> DataFrame:
     anomaly.validate_features(t)
     return t.agg(*[F.count(f).alias(f"{f}_values") for f in anomaly.FEATURES])
@@ -274,6 +280,7 @@ _over("zscore_histogram", B.telemetry_base, job=lambda t: _z_histogram(t))
 _over("isolation_forest", B.telemetry_base, job=lambda t: anomaly.isolation_forest(t).select(
     "id", "device_id", "iforest_score", "iforest_anomaly"))
 _over("consensus_three", B.telemetry_base, job=lambda t: anomaly.detect(t).select("id", "method_count", "consensus_anomaly"))
+_over("consensus_jump", B.telemetry_base, job=lambda t: _with_jump(t).select("id", "jump_anomaly", "method_count", "consensus_anomaly"))
 _over("anomaly_report", B.telemetry_base, job=lambda t: anomaly.report(anomaly.detect(t)))
 _over("top_consensus", B.telemetry_base, job=lambda t: anomaly.top_consensus(anomaly.detect(t)))
 _over("iforest_threshold", B.telemetry_base, job=lambda t: anomaly.iforest_threshold(anomaly.detect(t)))
@@ -418,6 +425,18 @@ def ingest_messages(spark, sf_dir):
     return spark.createDataFrame(sorted(brought.items()), "sink string, points long")
 
 
+@query("ingest_message_log")
+def ingest_message_log(spark, sf_dir):
+    """All point counts after streaming ingest from growing log files, by sink: a second run takes up what was appended since."""
+    logs, folder = new_folder(spark, "logs"), new_folder(spark, "log_ingest")
+    messages = _all_messages(spark, sf_dir)
+    early = F.pmod(F.xxhash64("payload"), F.lit(2)) == 0
+    for some in (messages.filter(early), messages.filter(~early)):
+        write_log(some, logs)
+        S.ingest(log_messages(spark, logs), folder)
+    return spark.createDataFrame(sorted(S.point_table(spark, folder).brought().items()), "sink string, points long")
+
+
 @query("stream_quality")
 def stream_quality(spark, sf_dir):
     """Messages received, written and failed, as the listener of the ingest stored them batch by batch."""

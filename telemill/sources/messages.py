@@ -32,12 +32,13 @@ PAYLOAD_SCHEMA = ", ".join(f"{f} STRING" for f in [*PAYLOAD_FIELDS, CORRUPT])
 def route_topic(messages: DataFrame) -> DataFrame:
     """Add device_id, kind and whether the topic is subscribed to and well formed.
 
-    ``kind`` is null for topics of another shape and the third part otherwise.
+    ``kind`` is null for topics of another shape and the third part otherwise. A message
+    whose topic could not be read counts as received.
     """
     parts = F.split("topic", "/")
     fits = (F.size(parts) == 3) & (F.get(parts, F.lit(0)) == ROOT)
     return messages.withColumns({
-        "subscribed": (F.col("topic") == ROOT) | F.col("topic").startswith(f"{ROOT}/"),
+        "subscribed": F.col("topic").isNull() | (F.col("topic") == ROOT) | F.col("topic").startswith(f"{ROOT}/"),
         "device_id": F.when(fits, F.get(parts, F.lit(1))),
         "kind": F.when(fits, F.get(parts, F.lit(2))),
     })
@@ -100,7 +101,8 @@ def outcome() -> Column:
     """What becomes of a parsed message."""
     known = F.col("kind").isin(KINDS)
     return (
-        F.when(~F.col("subscribed"), "not_subscribed")
+        F.when(F.col("topic").isNull(), "parse_error")
+        .when(~F.col("subscribed"), "not_subscribed")
         .when(F.col("kind").isNull(), "ignored_topic")
         .when(~F.col("payload_ok"), "parse_error")
         .when(~known, "ignored_kind")
