@@ -5,13 +5,16 @@ of letters, marks, repeats, and hashed words, then a learned layer); gated atten
 learned from document labels alone, say how much each passage counts; the weighted
 representation is scored.
 
-The model is fitted on a bounded sample: the ``SAMPLE`` labelled training documents
-with the smallest hash of their id, all their passages. Scores cover all passages
-of all documents.
+The model is fitted on a bounded sample: the ``SAMPLE`` labelled training documents with the smallest hash of their id (should
+ids repeat, the ``SAMPLE`` rows of them with the smallest hash of their encoding), and of a text with more than
+``FITTED`` passages that many, picked by hash all over the text. What reaches the driver is at most
+``SAMPLE * FITTED`` vectors of ``WIDTH`` floats (18 MB), whatever the lengths of the texts. Scores cover all
+passages of all documents.
 
 Edge cases: a null, empty or wordless text is one empty passage and is scored as such. Labels
 that are null are no labels; of several labels of one document the smallest counts. Without
-labels of both kinds every score is the share of label 1 (0.5 without any). Repeated rows get equal scores. Other columns are not read.
+labels of both kinds every score is the share of label 1 (0.5 without any). Repeated rows get equal scores. Texts of any length are
+scored whole, an empty table gives no rows. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import anchors, segment_join as S
-from .common import query, table
+from .common import named, query, stored, table
 from .language import held_out
 
 PASSAGE = 64
 SAMPLE = 4000
+FITTED = 32
 HASHED = 16
 MARKS = b"!#$%&*|?:;-_/\\\"'()[]{}<>=+@^~`"
 SINGLE = b"!#$%&*|"
@@ -90,6 +94,16 @@ def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, per
 
 
+def picked(count: int, most: int) -> np.ndarray:
+    """Places of at most ``most`` of ``count`` passages, in order: those with the smallest hash of their place."""
+    if count <= most:
+        return np.arange(count)
+    mixed = np.arange(1, count + 1, dtype=np.uint64) * np.uint64(anchors.BASE)
+    mixed ^= mixed >> np.uint64(31)
+    mixed *= np.uint64(anchors.BASE)
+    return np.sort(np.argsort(mixed, kind="stable")[:most])
+
+
 class Model:
     """Gated attention over passages, fitted by Adam on the log loss of document labels."""
 
@@ -160,12 +174,13 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` labelled documents; only their passages' features reach the driver."""
-    some = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(
+          sample: int = SAMPLE, fitted: int = FITTED) -> Model:
+    """Fit on at most ``sample`` labelled documents and ``fitted`` passages of each; only their features reach the driver."""
+    some = labels.select(named(id_col).alias("id"), named(label_col).cast("int").alias("label")).filter(
         "id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.min("label").alias("label"))
     some = some.orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(some), "id")
+    rows = docs.select(named(id_col).alias("id"), F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text")).join(
+        F.broadcast(some), "id")
 
     def run(batches):
         for batch in batches:
@@ -174,11 +189,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 ends = np.cumsum(per)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(lo, len(texts)), batch.column("label").slice(lo, len(texts)),
-                     pa.array([x[b - n:b].tobytes() for b, n in zip(ends, per)], pa.binary())], ["id", "label", "passages"])
+                     pa.array([x[b - n + picked(n, fitted)].tobytes() for b, n in zip(ends, per)], pa.binary())],
+                    ["id", "label", "passages"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = sorted(rows.select("id", "label", "text").mapInArrow(run, f"id {kind}, label int, passages binary").collect(),
-                   key=lambda r: (r.id, r.passages))
+    encoded = rows.select("id", "label", "text").mapInArrow(run, f"id {kind}, label int, passages binary")
+    bounded = stored(encoded.orderBy(F.xxhash64("id", "passages"), "id", "passages").limit(sample), "fit")
+    found = sorted(bounded.collect(), key=lambda r: (r.id, r.passages))
     bags = [np.frombuffer(r.passages, np.float32).reshape(-1, WIDTH) for r in found]
     x = np.concatenate(bags).astype(np.float64) if bags else np.zeros((0, WIDTH))
     return Model().fit(x, np.array([len(b) for b in bags], np.int64), np.array([float(r.label > 0) for r in found]))
@@ -186,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and score (0 to 1) of every document."""
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
+    kind = docs.select(named(id_col)).schema[0].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
@@ -195,7 +212,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                     [batch.column(0).slice(lo, len(texts)), pa.array(model.score(*encode(texts)).astype(np.float64))],
                     ["id", "score"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return docs.select(named(id_col).alias("id"), named(text_col).cast("string").alias("text")).mapInArrow(
         run, f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from telemill.llm import decontamination as D, language as L, pii as P, quality as Q
 from telemill.llm.common import table
@@ -183,3 +184,33 @@ def test_blocks_of_items(spark, monkeypatch):
 def test_passages_of_odd_texts():
     x, per = Q.encode(pa.array([None, "", "one", "word " * 200]))
     assert per.tolist() == [1, 1, 1, 4] and np.isfinite(x).all() and not x[:2].any()
+
+
+def test_picked_passages_cover_a_text():
+    assert Q.picked(5, 32).tolist() == [0, 1, 2, 3, 4] and Q.picked(0, 3).tolist() == []
+    for count in (33, 1000, 100_000):
+        own = Q.picked(count, 32)
+        assert len(set(own.tolist())) == 32 and own[0] >= 0 and own[-1] < count and (np.diff(own) > 0).all()
+        assert np.bincount(own * 4 // count, minlength=4).min() >= 1  # from all over the text
+
+
+def test_quality_of_long_texts_empty_tables_repeats_and_clashing_columns(spark):
+    rng = random.Random(2)
+    good, bad = "the river runs past quiet fields".split(), "BUY NOW!! $$$ click %% win".split()
+    text = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, text(good if i % 2 else bad, 20 + i), "x", 0.5) for i in range(60)]
+    rows += [(60, text(bad, 60_000), "x", 0.5), (61, text(good, 60_000), "x", 0.5), (62, None, "x", 0.5), (62, "", "x", 0.5)]
+    rows += [(63, text(good, 40), "x", 0.5)] * 5 + [(None, text(bad, 40), "x", 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, score double").withColumn("we`ird", F.lit(1))
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(64)] + [(None, 1, None), (5, None, None)],
+                                   "doc_id long, quality int, `a.b` int")
+    model = Q.train(docs, labels, sample=50, fitted=4)
+    found = [(r.doc_id, r.score) for r in Q.scored(docs, model).collect()]
+    assert len(found) == len(rows) and all(0 <= s <= 1 for _, s in found)
+    by = dict(found)
+    assert by[61] > 0.5 > by[60] and len({s for i, s in found if i == 63}) == 1 and len({s for i, s in found if i == 62}) == 1
+    assert all((s > 0.5) == (i % 2 == 1) for i, s in found if i is not None and i < 60)
+    again = Q.train(docs.repartition(5), labels.repartition(3), sample=50, fitted=4)
+    assert np.allclose([again.p[k].sum() for k in again.p], [model.p[k].sum() for k in model.p])
+    assert Q.scored(docs.limit(0), model).collect() == []
+    assert Q.train(docs.limit(0), labels).constant == 0.5 and Q.train(docs, labels.limit(0)).constant == 0.5
