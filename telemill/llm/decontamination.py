@@ -125,23 +125,48 @@ def _typed(text: str) -> list[tuple[str, int]]:
     return [(w, MAYBE if kind == PLAIN and w in names else kind) for w, kind in out]
 
 
+def _words(raw: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Bare words of an array, and which are numbers, units and fit a name, as ``_word`` has it.
+
+    Lower-case words, and ASCII ones with a mark behind, are told by whole columns; only the rest one by one.
+    """
+    cut = pc.ascii_rtrim(raw, characters=".,;:!?")
+    low = pc.and_(pc.utf8_is_alpha(raw), pc.utf8_is_lower(raw))
+    plain = pc.ascii_is_alpha(cut)
+    bare = pc.if_else(low, raw, pc.if_else(plain, pc.ascii_lower(cut), pa.scalar(None, raw.type)))
+    odd = pc.is_null(bare)
+    known = [_word(w) for w in raw.filter(odd).to_pylist()]
+    bare = pc.replace_with_mask(bare, odd, pa.array([w for w, _ in known], raw.type))
+
+    def among(words: frozenset) -> np.ndarray:
+        return np.asarray(pc.is_in(bare, value_set=pa.array(sorted(words), raw.type)))
+
+    capital = np.asarray(pc.and_(pc.ascii_is_upper(pc.utf8_slice_codeunits(cut, 0, 1)), pc.and_(
+        pc.invert(pc.ascii_is_upper(cut)), pc.greater(pc.binary_length(cut), 1))))
+    number = among(NUMBERS)
+    unit = among(UNITS) & ~number
+    fits = ~number & (capital & np.asarray(plain) & ~np.asarray(low) | ~among(COMMON))
+    one_by_one, bits = np.asarray(odd), np.array([b for _, b in known], np.uint8)
+    for of, bit in ((number, 1), (unit, 2), (fits, 16)):
+        of[one_by_one] = bits & bit > 0
+    return bare, number, unit, fits
+
+
 class Words:
-    """Words of some texts: spelled (bare words) and bits, at (index into them), text of each, their marks of ``_word``."""
+    """Words of some texts: spelled (different bare words), at (index into them), text of each, and what they may stand for."""
 
     def __init__(self, texts: pa.Array):
         self.texts = len(texts)
         split = pc.ascii_split_whitespace(texts)
         bounds = np.asarray(split.offsets)
         coded = split.flatten().dictionary_encode()
-        known = [_word(w) for w in coded.dictionary.to_pylist()]
-        self.spelled = [w for w, _ in known]
-        bits = np.array([b for _, b in known], np.uint8)
-        filled = np.array([bool(w) for w in self.spelled], bool)
+        self.spelled, number, unit, fits = _words(coded.dictionary)
+        filled = np.asarray(pc.greater(pc.binary_length(self.spelled), 0))
         at = np.asarray(coded.indices)
         keep = filled[at]
         self.at = at[keep]
         self.text = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))[keep]
-        self.bits = bits[self.at]
+        self.number, self.unit, self.fits = number[self.at], unit[self.at], fits[self.at]
 
 
 def _shape_hash(values: np.ndarray, sums: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
@@ -235,12 +260,11 @@ class Lookup:
 
     def __init__(self, items: Items, words: Words):
         self.items, self.words = items, words
-        known = np.array([items.vocabulary.get(w, -1) for w in words.spelled], np.int32)
-        self.word = known[words.at]
-        number, unit = words.bits & 1 > 0, words.bits & 2 > 0
-        self.fits = {NUM: number, UNIT: unit, NAME: words.bits & 16 > 0, MAYBE: words.bits & 16 > 0}
+        known = pc.index_in(words.spelled, value_set=pa.array(list(items.vocabulary), words.spelled.type))
+        self.word = np.asarray(pc.fill_null(known, -1))[words.at]
+        self.fits = {NUM: words.number, UNIT: words.unit, NAME: words.fits, MAYBE: words.fits}
         self.plain = items.values[self.word]
-        self.fixed = items.values[np.where(number, -3, np.where(unit, -2, self.word))]
+        self.fixed = items.values[np.where(words.number, -3, np.where(words.unit, -2, self.word))]
 
     def windows(self, tables: dict, values: np.ndarray, template: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Matching windows, each pair once: begin among the words, begin among the items' words, length."""
@@ -283,7 +307,7 @@ class Lookup:
         kind = self.items.kind[there:there + size]
         same = self.items.word[there:there + size] == self.word[here:here + size]
         return [(int(j), NAME if kind[j] == MAYBE else int(kind[j]), self.items.spelled[there + j],
-                 self.words.spelled[self.words.at[here + j]]) for j in np.flatnonzero((kind != PLAIN) & ~((kind == MAYBE) & same))]
+                 self.words.spelled[int(self.words.at[here + j])].as_py()) for j in np.flatnonzero((kind != PLAIN) & ~((kind == MAYBE) & same))]
 
     def counted(self, here: int, there: int, count: int, length: int) -> int:
         """Windows with consistent slots in a run of ``count`` matching ones."""

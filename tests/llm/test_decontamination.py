@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 from telemill.llm import decontamination as D
 
 TOM = "Tom has 3 pens. Ann has 5 pens. Who has more pens?"
@@ -121,6 +123,21 @@ def test_blocks_share_one_step(spark, monkeypatch):
     assert sorted((r.doc_id, [h.item for h in r.hits]) for r in out.collect()) == [(0, [0, 2]), (1, [1]), (2, [])]
 
 
+def test_columns_of_words_against_single_words(spark, sf_dir):
+    texts = [r.text or "" for name in ("documents", "benchmark") for r in spark.read.parquet(f"{sf_dir}/{name}.parquet").collect()]
+    words = {w for t in texts for w in re.split(r"[ \t-\r]+", t)} - {""}
+    rng = random.Random(1)
+    words |= {"".join(rng.choice("aBzÄéßªİǅ日5½.,!?_-$'\u0301") for _ in range(rng.randint(1, 5))) for _ in range(20_000)}
+    words |= {mark(w) + end for w in [*D.NUMBERS, *D.UNITS, *D.COMMON] for mark in (str, str.title, str.upper) for end in ("", ".", ",;", "!)")}
+    words = sorted(words)
+    spelled, number, unit, fits = D._words(pa.array(words))
+    want = [D._word(w) for w in words]
+    assert spelled.to_pylist() == [w for w, _ in want]
+    got = [(1 if n else 0) | (2 if u else 0) | (16 if f else 0) for n, u, f in zip(number, unit, fits)]
+    assert got == [b & 19 for _, b in want]
+    assert [len(x) for x in D._words(pa.array([], pa.string()))] == [0] * 4
+
+
 def bare(text):
     return [w for w in (re.sub(r"[\W_]+", "", raw.lower()) for raw in re.split(r"[ \t-\r]+", text or "")) if w]
 
